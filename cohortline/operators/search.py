@@ -12,7 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 # The parameters each method searches, and whether they are whole.
 AXES = {
@@ -145,8 +145,6 @@ def sample_trials(grid: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     The draw order is a hash, so the same seed gives the same trials anywhere;
     the rank limit applies before the shuffle as well.
     """
-    from pyspark.sql import Window
-
     drawn = F.md5(F.concat_ws("|", "trial", F.col("seed").cast("string")))
     window = Window.partitionBy(*by, "method").orderBy(drawn, "trial")
     return (grid.withColumn("draw", F.row_number().over(window))
@@ -176,8 +174,8 @@ class TrialResult:
     error: str | None = None
 
 
-def run_trials(trials: Sequence[dict], objective: Callable[[dict], float], parallel: int = 1,
-               goal: float = GOAL, max_failed: int = 0) -> list[TrialResult]:
+def run_trials(spark: SparkSession, trials: Sequence[dict], objective: Callable[[dict], float],
+               parallel: int = 1, goal: float = GOAL, max_failed: int = 0) -> list[TrialResult]:
     """Score trials until one reaches the goal or more than ``max_failed`` fail.
 
     Each objective call is a distributed fit; up to ``parallel`` run at once,
@@ -194,7 +192,7 @@ def run_trials(trials: Sequence[dict], objective: Callable[[dict], float], paral
     parallel = max(1, parallel)
     with ThreadPoolExecutor(parallel) as pool:
         for start in range(0, len(trials), parallel):
-            wave = [pool.submit(inheritable_thread_target(attempt), dict(p))
+            wave = [pool.submit(inheritable_thread_target(spark)(attempt), dict(p))
                     for p in trials[start:start + parallel]]
             done.extend(job.result() for job in wave)
             failed = sum(r.error is not None for r in done)
