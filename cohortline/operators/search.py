@@ -61,7 +61,6 @@ def space_problems(space: DataFrame) -> DataFrame:
     even step, step positive, seed whole, trial counts given and whole. A
     missing seed is the default one.
     """
-    reason = F.lit(None).cast("string")
     tests: list[tuple[Column, str]] = []
     for method, axes in AXES.items():
         mine = F.col("method") == method
@@ -89,9 +88,9 @@ def space_problems(space: DataFrame) -> DataFrame:
     chained = F
     for test, text in tests:
         chained = chained.when(test, F.lit(text))
-    reason = chained.otherwise(reason)
     seed = F.coalesce(_whole("random_state"), F.lit(DEFAULT_SEED))
-    return space.withColumns({"reason": reason, "seed": seed})
+    return space.withColumns(
+        {"reason": chained.otherwise(F.lit(None).cast("string")), "seed": seed})
 
 
 def sound_space(space: DataFrame) -> DataFrame:
@@ -104,8 +103,9 @@ def sound_space(space: DataFrame) -> DataFrame:
 
 
 def _steps(prefix: str, kind: str) -> Column:
+    """Indices 0..n of an axis; none if the maximum lies below the minimum."""
     low, high, step = (_bound(prefix, b, kind).cast("double") for b in BOUNDS)
-    last = F.floor((high - low) / step + F.lit(1e-9))
+    last = F.floor(F.try_divide(high - low, step) + F.lit(1e-9))
     return F.when(last >= 0, F.sequence(F.lit(0).cast("bigint"), last.cast("bigint"))).otherwise(
         F.array().cast("array<bigint>"))
 
@@ -113,30 +113,35 @@ def _steps(prefix: str, kind: str) -> Column:
 def trial_grid(checked: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """All trials of the sound rows: ``min + i * step`` per axis, axes combined.
 
-    Each axis is exploded from the row that defines it, so combining axes is a
-    narrow step and not a join. Columns of axes a method lacks are NULL.
+    Both axes are exploded from the row that defines them: one narrow pass over
+    the space for all methods, no join of axes and no union of methods. Columns
+    of axes a method lacks are NULL.
     """
     sound = checked.filter(F.col("reason").isNull()) if "reason" in checked.columns else checked
-    parts = []
+    lacking = F.array(F.lit(None).cast("bigint"))
+    whole_steps, lr_steps, whole, lr = F, F, {}, F.lit(None).cast("double")
     for method, axes in AXES.items():
-        part = sound.filter(F.col("method") == method)
-        values: dict[str, Column] = {
-            "lr": F.lit(None).cast("double"), "ne": F.lit(None).cast("bigint"),
-            "nn": F.lit(None).cast("bigint"), "it": F.lit(None).cast("bigint")}
+        mine = F.col("method") == method
         for name, prefix, kind in axes:
-            part = part.withColumn(f"_{name}", F.explode(_steps(prefix, kind)))
-            value = _bound(prefix, "min", kind) + F.col(f"_{name}") * _bound(prefix, "step", kind)
-            values[name] = F.round(value, 10) if kind == "double" else value
-        parts.append(part.select(
-            *by, "method", "seed", *COUNTS, *[c.alias(n) for n, c in values.items()]))
-    grid = parts[0]
-    for part in parts[1:]:
-        grid = grid.unionByName(part)
-    trial = F.concat_ws(",", *[
-        F.concat(F.lit(f"{n}="), F.coalesce(F.col(n).cast("string"), F.lit("")))
-        for n in ("ne", "nn", "it")])
-    at = F.coalesce(F.round(F.col("lr") * 1_000_000).cast("bigint").cast("string"), F.lit(""))
-    return grid.withColumn("trial", F.concat(trial, F.lit(",lr="), at))
+            value = _bound(prefix, "min", kind) + F.col(
+                "_lr" if kind == "double" else "_whole") * _bound(prefix, "step", kind)
+            if kind == "double":
+                lr_steps = lr_steps.when(mine, _steps(prefix, kind))
+                lr = F.when(mine, F.round(value, 10))
+            else:
+                whole_steps = whole_steps.when(mine, _steps(prefix, kind))
+                whole[name] = whole.get(name, F).when(mine, value)
+    grid = (
+        sound.withColumn("_lr", F.explode(lr_steps.otherwise(lacking)))
+        .withColumn("_whole", F.explode(whole_steps.otherwise(lacking)))
+        .select(*by, "method", "seed", *COUNTS, lr.alias("lr"),
+                *[whole[n].alias(n) for n in ("ne", "nn", "it")])
+    )
+    named = [F.concat(F.lit(f"{n}="), F.coalesce(F.col(n).cast("string"), F.lit("")))
+             for n in ("ne", "nn", "it")]
+    millionths = F.round(F.col("lr") * 1_000_000).cast("bigint").cast("string")
+    return grid.withColumn("trial", F.concat_ws(
+        ",", *named, F.concat(F.lit("lr="), F.coalesce(millionths, F.lit("")))))
 
 
 def sample_trials(grid: DataFrame, by: Sequence[str] = ()) -> DataFrame:
