@@ -147,8 +147,8 @@ def trial_grid(checked: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def sample_trials(grid: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """A seeded random draw of ``max_trial_counts`` trials per (task, method).
 
-    The draw order is a hash, so the same seed gives the same trials anywhere;
-    the rank limit applies before the shuffle as well.
+    The draw order is a hash, so the same seed gives the same trials anywhere.
+    A group is the grid of one search, whose size the space sets.
     """
     drawn = F.md5(F.concat_ws("|", "trial", F.col("seed").cast("string")))
     window = Window.partitionBy(*by, "method").orderBy(drawn, "trial")
@@ -160,15 +160,14 @@ def best_trial(trials: DataFrame, by: Sequence[str] = (), params: Sequence[str]
                order: str = "trial") -> DataFrame:
     """Per (task, method) the trial of highest accuracy, the first in ``order`` on ties.
 
-    Two aggregates with map-side combine (the top accuracy, then the first
-    trial that has it) instead of sorting each group.
+    One aggregate with map-side combine instead of sorting each group. The
+    accuracy is negated rather than the order, which may be text.
     """
     scored = trials.filter(F.col("accuracy").isNotNull())
-    row = F.struct(*dict.fromkeys([order, *params]))
-    per_score = scored.groupBy(*by, "method", "accuracy").agg(F.min_by(row, order).alias("row"))
-    top = per_score.groupBy(*by, "method").agg(
-        F.max_by(F.col("row"), "accuracy").alias("row"), F.max("accuracy").alias("accuracy"))
-    return top.select(*by, "method", *[F.col(f"row.{p}").alias(p) for p in params], "accuracy")
+    row = F.struct(*dict.fromkeys([*params, "accuracy"]))
+    best = scored.groupBy(*by, "method").agg(
+        F.min_by(row, F.struct((-F.col("accuracy")).alias("cost"), order)).alias("best"))
+    return best.select(*by, "method", "best.*")
 
 
 @dataclass(frozen=True)
