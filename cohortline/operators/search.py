@@ -119,23 +119,28 @@ def trial_grid(checked: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """
     sound = checked.filter(F.col("reason").isNull()) if "reason" in checked.columns else checked
     lacking = F.array(F.lit(None).cast("bigint"))
-    whole_steps, lr_steps, whole, lr = F, F, {}, F.lit(None).cast("double")
+    axis = {"_rates": F, "_rate_low": F, "_rate_by": F, "_wholes": F, "_low": F, "_by": F}
+    methods_of: dict[str, list[str]] = {}
     for method, axes in AXES.items():
         mine = F.col("method") == method
         for name, prefix, kind in axes:
-            value = _bound(prefix, "min", kind) + F.col(
-                "_lr" if kind == "double" else "_whole") * _bound(prefix, "step", kind)
-            if kind == "double":
-                lr_steps = lr_steps.when(mine, _steps(prefix, kind))
-                lr = F.when(mine, F.round(value, 10))
-            else:
-                whole_steps = whole_steps.when(mine, _steps(prefix, kind))
-                whole[name] = whole.get(name, F).when(mine, value)
+            methods_of.setdefault(name, []).append(method)
+            steps, low, by_ = (("_rates", "_rate_low", "_rate_by") if kind == "double"
+                               else ("_wholes", "_low", "_by"))
+            axis[steps] = axis[steps].when(mine, _steps(prefix, kind))
+            axis[low] = axis[low].when(mine, _bound(prefix, "min", kind))
+            axis[by_] = axis[by_].when(mine, _bound(prefix, "step", kind))
+    for steps in ("_rates", "_wholes"):
+        axis[steps] = axis[steps].otherwise(lacking)
+    # The texts are read once per row of the space, below the explosion.
+    read = sound.select(*by, "method", "seed", *COUNTS, *[c.alias(n) for n, c in axis.items()])
+    whole = F.col("_low") + F.col("_whole") * F.col("_by")
     grid = (
-        sound.withColumn("_lr", F.explode(lr_steps.otherwise(lacking)))
-        .withColumn("_whole", F.explode(whole_steps.otherwise(lacking)))
-        .select(*by, "method", "seed", *COUNTS, lr.alias("lr"),
-                *[whole[n].alias(n) for n in ("ne", "nn", "it")])
+        read.withColumn("_rate", F.explode("_rates")).withColumn("_whole", F.explode("_wholes"))
+        .select(*by, "method", "seed", *COUNTS,
+                F.round(F.col("_rate_low") + F.col("_rate") * F.col("_rate_by"), 10).alias("lr"),
+                *[F.when(F.col("method").isin(*methods_of[n]), whole).alias(n)
+                  for n in ("ne", "nn", "it")])
     )
     named = [F.concat(F.lit(f"{n}="), F.coalesce(F.col(n).cast("string"), F.lit("")))
              for n in ("ne", "nn", "it")]

@@ -23,8 +23,6 @@ def with_split(df: DataFrame, keys: Sequence[str], shares: Mapping[str, int] = T
     if any(n < 0 for n in shares.values()) or sum(shares.values()) < 1:
         raise ValueError(f"bad shares {dict(shares)}")
     bucket = hash_fraction_bucket(keys, sum(shares.values()), salt)
-    named, upto = F, 0
-    for name, share in shares.items():
-        upto += share
-        named = named.when(bucket < upto, F.lit(name))
-    return df.withColumn(split_col, named)
+    # One name per bucket, so the hash is computed once per row.
+    names = F.array(*[F.lit(name) for name, share in shares.items() for _ in range(share)])
+    return df.withColumn(split_col, names[bucket])

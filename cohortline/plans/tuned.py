@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortline.operators import classifiers, metrics, search
 from cohortline.operators.columns import feature_columns
 from cohortline.operators.nearest import fit_nearest
 from cohortline.plans.comparison import KNN, LR, RF, XGB, evaluate
+from cohortline.plans.holding import held
 from cohortline.sources.metrics import metrics_rows
 from cohortline.sources.models import promote
 
@@ -62,8 +62,7 @@ def tuned_run(df: DataFrame, space: DataFrame, label: str, key: str, run_id: str
     for row in drawn.orderBy("method", "draw").collect():
         per_method.setdefault(row["method"], []).append(row.asDict())
     features = feature_columns(df, label, [key, "split"])
-    frame = df.select(key, *features, label, "split").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with held(df.select(key, *features, label, "split")) as (frame, _):
         train = frame.filter(F.col("split") == "train")
         test = frame.filter(F.col("split") == "test")
         rows = train.count()
@@ -90,8 +89,6 @@ def tuned_run(df: DataFrame, space: DataFrame, label: str, key: str, run_id: str
         action = None
         if store and task:
             action = promote(spark, store, task, best.model, best.accuracy, models[best.model])
-    finally:
-        frame.unpersist()
     return TunedRun(trials, best_trials, table, best.model, best.accuracy, action)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cohortline.operators import classifiers, search
 from cohortline.operators.metrics import with_class_weight
 from cohortline.operators.split import TRAIN_TEST, TRAIN_VAL_TEST, with_split
+from cohortline.plans.holding import held
 from cohortline.plans.tuned import space_of, tuned_run
 from cohortline.sources.tables import read_table
 from workload.registry import query
@@ -31,25 +32,31 @@ def _part(df, name):
     return df.filter(F.col("split") == name)
 
 
-def _scored(model, test):
-    return classifiers.score(model, test).select(KEY, *FEATURES, "dear", "prediction")
+def _scored(model, lines):
+    return classifiers.score(model, _part(lines, "test")).select(KEY, *FEATURES, "dear", "prediction")
+
+
+def _fitted(lines, estimator):
+    """Fit on the train split, which is held while the fit passes over it."""
+    with held(_part(lines, "train")) as (train, _):
+        return classifiers.fit(estimator, train, FEATURES, "dear")
 
 
 @query("lr_predict")
 def lr_predict(spark, folder):
     lines = _lines(spark, folder)
-    train = _part(lines, "train")
-    model = classifiers.fit(
-        classifiers.logistic(train.count(), max_iter=10_000), train, FEATURES, "dear")
-    return _scored(model, _part(lines, "test"))
+    with held(_part(lines, "train")) as (train, rows):
+        model = classifiers.fit(
+            classifiers.logistic(rows, max_iter=10_000), train, FEATURES, "dear")
+    return _scored(model, lines)
 
 
 @query("lr_probability")
 def lr_probability(spark, folder):
     lines = _lines(spark, folder, TRAIN_TEST)
-    train = _part(lines, "train")
-    model = classifiers.fit(
-        classifiers.logistic(train.count(), max_iter=100), train, FEATURES, "dear")
+    with held(_part(lines, "train")) as (train, rows):
+        model = classifiers.fit(
+            classifiers.logistic(rows, max_iter=100), train, FEATURES, "dear")
     scored = classifiers.score_by_threshold(model, _part(lines, "test"))
     return scored.select(KEY, "dear", F.round("p", 6).alias("p"), "prediction")
 
@@ -57,35 +64,32 @@ def lr_probability(spark, folder):
 @query("rf_predict")
 def rf_predict(spark, folder):
     lines = _lines(spark, folder)
-    model = classifiers.fit(classifiers.forest(), _part(lines, "train"), FEATURES, "dear")
-    return _scored(model, _part(lines, "test"))
+    return _scored(_fitted(lines, classifiers.forest()), lines)
 
 
 @query("rf_default_predict")
 def rf_default_predict(spark, folder):
     lines = _lines(spark, folder, TRAIN_TEST)
-    model = classifiers.fit(classifiers.default_forest(), _part(lines, "train"), FEATURES, "dear")
-    return _scored(model, _part(lines, "test"))
+    return _scored(_fitted(lines, classifiers.default_forest()), lines)
 
 
 @query("gbt_predict")
 def gbt_predict(spark, folder):
     """Weighted boosting that stops on the validation split."""
     lines = _lines(spark, folder)
-    train = with_class_weight(_part(lines, "train"), "dear")
-    val = with_class_weight(_part(lines, "val"), "dear", mode="none")
-    model, _ = classifiers.fit_boosted_with_patience(
-        train, val, FEATURES, "dear", max_rounds=24, patience=10, weight_col="weight",
-        first_rounds=24)
-    return _scored(model, _part(lines, "test"))
+    with held(lines) as (frame, _):
+        train = with_class_weight(_part(frame, "train"), "dear")
+        val = with_class_weight(_part(frame, "val"), "dear", mode="none")
+        model, _ = classifiers.fit_boosted_with_patience(
+            train, val, FEATURES, "dear", max_rounds=24, patience=10, weight_col="weight",
+            first_rounds=24)
+    return _scored(model, lines)
 
 
 @query("gbt_slow_predict")
 def gbt_slow_predict(spark, folder):
     lines = _lines(spark, folder, TRAIN_TEST)
-    model = classifiers.fit(
-        classifiers.boosted(rounds=12, step=0.01, depth=5), _part(lines, "train"), FEATURES, "dear")
-    return _scored(model, _part(lines, "test"))
+    return _scored(_fitted(lines, classifiers.boosted(rounds=12, step=0.01, depth=5)), lines)
 
 
 @query("tuned_trials")
