@@ -93,5 +93,5 @@ def knn_neighbours(spark, folder):
 def knn_orders(spark, folder):
     """Few dimensions: boxes cut most of the table off for every test row."""
     train, test = _orders(spark, folder)
-    model = fit_nearest(train, ["a", "b", "c"], "key", "label", k=3, block_rows=2048)
+    model = fit_nearest(train, ["a", "b", "c"], "key", "label", k=3)
     return model.predict(test).select("key", "label", "prediction")
