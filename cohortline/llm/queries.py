@@ -4,19 +4,53 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortline.llm import byte_pairs, near_duplicates
+from cohortline.llm import byte_pairs, mixing, near_duplicates, ordinal_quality, top_k, url_rules
 from cohortline.llm.inputs import table
 from cohortline.llm.registry import query
 
 
+@query("op4_top_k")
+def op4_top_k(spark, folder):
+    return top_k.top_k(table(spark, folder, "embeddings"), k=5, every=50)
+
+
 @query("op5_near_duplicates")
 def op5_near_duplicates(spark, folder):
     return near_duplicates.near_duplicates(table(spark, folder, "documents"), percent=85)
 
 
+@query("op6_url_rules", sql="""
+WITH cut AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+rules(verdict, host, path) AS (VALUES
+  ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+  ('allow', 'com', '/fr/'), ('block', 'com', '/de/'))
+SELECT page_id, p.host AS host, p.path AS path,
+       (SELECT arg_max(r.host || r.path, length(r.host || r.path)) FROM rules r
+        WHERE (p.host = r.host OR suffix(p.host, '.' || r.host)) AND starts_with(p.path, r.path)) AS rule,
+       coalesce((SELECT arg_max(r.verdict, length(r.host || r.path)) FROM rules r
+        WHERE (p.host = r.host OR suffix(p.host, '.' || r.host)) AND starts_with(p.path, r.path)), 'allow') AS verdict
+FROM parts p""")
+def op6_url_rules(spark, folder):
+    return url_rules.judged(table(spark, folder, "pages"), url_rules.rule_frame(spark))
+
+
+@query("op7_ordinal_quality")
+def op7_ordinal_quality(spark, folder):
+    return ordinal_quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op9_byte_pairs")
 def op9_byte_pairs(spark, folder):
     import public_tokenizers
 
     return byte_pairs.round_trips(table(spark, folder, "documents"),
                                   public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@query("op10_mixture")
+def op10_mixture(spark, folder):
+    return mixing.mixture_sizes(table(spark, folder, "documents"))

@@ -40,9 +40,14 @@ def _powers(length: int) -> np.ndarray:
     return _POWERS["table"]
 
 
-def _hashes(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+#: Bytes that words are made of: all but space and 09-0D; or ASCII letters, digits and what lies beyond ASCII.
+SPACED = np.array([b != 32 and not 9 <= b <= 13 for b in range(256)])
+LETTERED = np.array([b > 127 or chr(b).isalnum() for b in range(256)])
+
+
+def _hashes(data: np.ndarray, cuts: np.ndarray, bytes_in: np.ndarray = SPACED) -> tuple[np.ndarray, np.ndarray]:
     """(first byte of each word, its hash); a word also ends at each of ``cuts``."""
-    inside = (data != 32) & ((data < 9) | (data > 13))
+    inside = bytes_in[data]
     opens = inside.copy()
     opens[1:] &= ~inside[:-1]
     at = cuts[cuts < len(data)]
@@ -59,11 +64,11 @@ def _hashes(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return starts, mixed(np.add.reduceat(terms, starts))
 
 
-def hashed_words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def hashed_words(column: pa.Array, bytes_in: np.ndarray = SPACED) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row, word hashes, words per row) for runs of rows of a string column."""
     for first, last, data, offsets in steps(column):
         if len(data) <= 2 * STEP_BYTES:
-            starts, hashes = _hashes(data, offsets[:-1])
+            starts, hashes = _hashes(data, offsets[:-1], bytes_in)
             yield first, last, hashes, np.diff(np.searchsorted(starts, offsets))
             continue
         parts, begin = [], 0  # one long text: piece by piece, cut where a word ends
@@ -75,7 +80,7 @@ def hashed_words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nd
                     end += int(gaps[0])
                     break
                 end = min(end + STEP_BYTES, len(data))
-            parts.append(_hashes(data[begin:end], np.zeros(1, np.int64))[1])
+            parts.append(_hashes(data[begin:end], np.zeros(1, np.int64), bytes_in)[1])
             begin = end
         hashes = np.concatenate(parts)
         yield first, last, hashes, np.array([len(hashes)])
