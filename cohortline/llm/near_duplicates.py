@@ -294,3 +294,21 @@ def _components_of(placed, members, near, best, sets, percent) -> DataFrame:
     return (placed.join(found.withColumnRenamed("node", "rep"), "rep", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def without_copies(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, one per document: all columns, other rows unchanged.
+
+    Of rows that repeat a doc_id and have words one stays; rows without words or
+    without doc_id all stay.
+    """
+    found = cut_lineage(near_duplicates(docs, percent, key, text))
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    left = docs.join(gone, docs[key].cast("long") == gone["_gone"], "left_anti")
+    again = (found.filter(F.col("kept") & F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
+             .groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("_again")))
+    again = cut_lineage(again)
+    if again.isEmpty():
+        return left
+    on = left[key].cast("long") == again["_again"]
+    return left.join(again, on, "left_anti").unionByName(left.join(again, on, "left_semi").dropDuplicates([key]))

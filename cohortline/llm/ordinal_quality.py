@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -100,6 +101,28 @@ class GradeModel:
     weights: np.ndarray
     thresholds: np.ndarray
 
+    def scores(self, column: pa.Array):
+        """(first row, scores) for runs of rows of a string column without NULLs."""
+        for found in _runs(column):
+            yield found.first, sum(np.bincount(row, self.weights[slot] * value, minlength=found.rows)
+                                   for row, slot, value in found.parts)
+
+    def tails(self, score: np.ndarray) -> np.ndarray:
+        """P(grade >= g) for each score and g = 1 .. G."""
+        return _sigmoid(score[:, None] - self.thresholds[None, :])
+
+    def keep(self, docs: DataFrame, least: float, text: str = "text") -> DataFrame:
+        """The rows of ``docs`` whose top grade has at least the chance ``least``, with all their columns."""
+        shared = docs.sparkSession.sparkContext.broadcast(self)
+
+        def run(batches):
+            for rows in batches:
+                if rows.num_rows:
+                    column = pc.fill_null(rows.column(rows.schema.get_field_index(text)).cast(pa.large_string()), "")
+                    score = np.concatenate([s for _, s in shared.value.scores(column)])
+                    yield rows.filter(pa.array(shared.value.tails(score)[:, -1] >= least))
+        return docs.mapInArrow(run, docs.schema)
+
     def grade(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         """(doc_id, score, expected_grade, tail_1 .. tail_G), one row per row of ``docs``.
 
@@ -109,16 +132,13 @@ class GradeModel:
         names = [f"tail_{g + 1}" for g in range(len(self.thresholds))]
         schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("expected_grade", pa.float64()),
                             *((n, pa.float64()) for n in names)])
-        shared = docs.sparkSession.sparkContext.broadcast((self.weights, self.thresholds))
+        shared = docs.sparkSession.sparkContext.broadcast(self)
 
         def run(batches):
-            weights, thresholds = shared.value
             for rows in batches:
-                for found in _runs(rows.column(1)):
-                    score = sum(np.bincount(row, weights[slot] * value, minlength=found.rows)
-                                for row, slot, value in found.parts)
-                    tails = _sigmoid(score[:, None] - thresholds[None, :])
-                    yield batch(schema.names, [rows.column(0).slice(found.first, found.rows), score,
+                for first, score in shared.value.scores(rows.column(1)):
+                    tails = shared.value.tails(score)
+                    yield batch(schema.names, [rows.column(0).slice(first, len(score)), score,
                                                tails.sum(1), *(tails[:, g] for g in range(len(names)))], schema)
         return texts_of(docs, key, text).mapInArrow(
             run, "doc_id long, score double, expected_grade double, " + ", ".join(f"{n} double" for n in names))
@@ -174,7 +194,11 @@ def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return texts_of(docs).join(F.broadcast(chosen), "doc_id").select("grade", "text")
 
 
-def quality(docs: DataFrame, labels: DataFrame, least: float = 0.4) -> DataFrame:
+#: Least chance of the top grade that a selected document must have.
+LEAST = 0.4
+
+
+def quality(docs: DataFrame, labels: DataFrame, least: float = LEAST) -> DataFrame:
     """Fit on ``labels`` and grade every row of ``docs``: grade columns and ``selected``.
 
     A document is selected if P(grade = 2), the tail above the last threshold,
@@ -182,3 +206,8 @@ def quality(docs: DataFrame, labels: DataFrame, least: float = 0.4) -> DataFrame
     """
     model = fit_grades(graded(docs, labels), grades=3)
     return model.grade(docs).withColumn("selected", F.col("tail_2") >= least)
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, least: float = LEAST) -> DataFrame:
+    """The rows of ``docs`` that ``quality`` selects, with all their columns."""
+    return fit_grades(graded(docs, labels), grades=3).keep(docs, least)

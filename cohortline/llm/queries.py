@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from cohortline.llm import byte_pairs, mixing, near_duplicates, ordinal_quality, top_k, url_rules
+from cohortline.llm import (
+    byte_pairs, mixing, near_duplicates, ordinal_quality, personal_data, top_k, url_rules, winnowing,
+)
 from cohortline.llm.inputs import table
 from cohortline.llm.registry import query
 
 
+@query("op2_winnowing")
+def op2_winnowing(spark, folder):
+    return winnowing.fingerprints(table(spark, folder, "documents"))
+
+
 @query("op4_top_k")
 def op4_top_k(spark, folder):
     return top_k.top_k(table(spark, folder, "embeddings"), k=5, every=50)
@@ -43,6 +48,11 @@ def op7_ordinal_quality(spark, folder):
     return ordinal_quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query("op8_personal_data")
+def op8_personal_data(spark, folder):
+    return personal_data.digests(table(spark, folder, "documents"))
+
+
 @query("op9_byte_pairs")
 def op9_byte_pairs(spark, folder):
     import public_tokenizers
