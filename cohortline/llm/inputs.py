@@ -48,3 +48,15 @@ def batch(names: list[str], columns: list, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, schema.field(n).type) for n, c in zip(names, columns)],
         schema=schema)
+
+
+def hashed_sample(df: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """Up to ``most`` distinct rows of (keys), those with the smallest hashes, whatever the partitioning.
+
+    A bound on the hash, set from the number of rows, leaves about twice that
+    many before they are ordered; so no task gets more than a few times ``most``.
+    """
+    share = min(1.0, 2.0 * most / max(df.count(), 1))
+    bound = int(share * (1 << 31))
+    place = F.pmod(F.xxhash64(*keys), F.lit(1 << 31))
+    return df.filter(place < bound).distinct().orderBy(place, *keys).limit(most)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.llm import words
-from cohortline.llm.inputs import batch, steps, texts_of
+from cohortline.llm.inputs import batch, hashed_sample, steps, texts_of
 
 #: Most ratings that the fit uses: those whose hashed doc_id is smallest.
 RATINGS = 6000
@@ -187,10 +187,9 @@ def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:
     hash before the join, so what is sent to the tasks has at most that many rows.
     """
     grade = F.when(F.col("quality") == 0, 0).when(F.coalesce("toxic", F.lit(0)) == 1, 1).otherwise(2)
-    chosen = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "toxic")
-              .filter("doc_id is not null and quality is not null")
-              .select("doc_id", grade.alias("grade")).distinct()
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(RATINGS))
+    chosen = hashed_sample(labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "toxic")
+                           .filter("doc_id is not null and quality is not null")
+                           .select("doc_id", grade.alias("grade")), ["doc_id", "grade"], RATINGS)
     return texts_of(docs).join(F.broadcast(chosen), "doc_id").select("grade", "text")
 
 

@@ -18,7 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.llm.inputs import texts_of
+from cohortline.llm.inputs import hashed_sample, texts_of
 from cohortline.settings import cut_lineage
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -189,8 +189,7 @@ PLANTS = [
 
 def labelled_candidates(docs: DataFrame, contexts: int = CONTEXTS) -> DataFrame:
     """(label, part, candidate columns): planted candidates in the words of up to ``contexts`` documents."""
-    some = (docs.select("doc_id", F.substring("text", 1, 400).alias("words")).distinct()
-            .orderBy(F.xxhash64("doc_id", "words")).limit(contexts))
+    some = hashed_sample(docs.select("doc_id", F.substring("text", 1, 400).alias("words")), ["doc_id", "words"], contexts)
     plants = docs.sparkSession.createDataFrame(
         [(n, *plant) for n, plant in enumerate(PLANTS)], "n int, label int, cue string, template string")
     words = F.regexp_replace("words", "[0-9@]+", "")

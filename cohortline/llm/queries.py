@@ -2,18 +2,30 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from cohortline.llm import (
-    byte_pairs, mixing, near_duplicates, ordinal_quality, personal_data, top_k, url_rules, winnowing,
+    byte_pairs, licenses, mixing, near_duplicates, ordinal_quality, personal_data, secrets, top_k, url_rules, winnowing,
 )
 from cohortline.llm.inputs import table
 from cohortline.llm.registry import query
 
 
+@query("op1_licenses")
+def op1_licenses(spark, folder):
+    return licenses.license_findings(table(spark, folder, "documents"))
+
+
 @query("op2_winnowing")
 def op2_winnowing(spark, folder):
     return winnowing.fingerprints(table(spark, folder, "documents"))
 
 
+@query("op3_secrets")
+def op3_secrets(spark, folder):
+    return secrets.secret_findings(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 @query("op4_top_k")
 def op4_top_k(spark, folder):
     return top_k.top_k(table(spark, folder, "embeddings"), k=5, every=50)
@@ -55,8 +67,6 @@ def op8_personal_data(spark, folder):
 
 @query("op9_byte_pairs")
 def op9_byte_pairs(spark, folder):
-    import public_tokenizers
-
     return byte_pairs.round_trips(table(spark, folder, "documents"),
                                   public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
