@@ -17,7 +17,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     around = _both_ways(edges)
     least = around.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
     return (around.join(least, "a").filter("b > a")
-            .select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct())
+            .select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

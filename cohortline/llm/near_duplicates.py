@@ -3,8 +3,8 @@
 1. Each text gets its set of word-shingle hashes, a digest of that set and 128
    universal-hash minima. Texts with equal sets are one class from then on.
 2. Every 4 minima form one of 32 bands. Classes that share a band meet in a
-   bucket; each is compared with the bucket's first class, first by signature,
-   and its most similar partner by the full sets.
+   bucket. Of the first classes of its buckets, each class is compared with the
+   one it shares most bands with, first by signature, then by the full sets.
 3. What the confirmed links leave unconnected is compared exactly inside the
    buckets, in blocks of bounded size, and a spanning forest of the links found
    is kept. No pair list of a group is ever written.
@@ -94,7 +94,7 @@ def _banded(batches):
 
 def _estimates(floor: float):
     def estimate(batches):
-        schema = pa.schema([("rep", pa.int64()), ("pivot", pa.int64()), ("agree", pa.int32())])
+        schema = pa.schema([("rep", pa.int64()), ("pivot", pa.int64()), ("best", pa.bool_())])
         for rows in batches:
             if not rows.num_rows:
                 continue
@@ -102,8 +102,8 @@ def _estimates(floor: float):
                            for c in (2, 3))
             agree = (left == right).sum(1)
             near = agree >= floor * HASHES
-            yield batch(schema.names, [rows.column(0).to_numpy()[near], rows.column(1).to_numpy()[near],
-                                       agree[near].astype(np.int32)], schema)
+            near = pa.array(near)
+            yield batch(schema.names, [rows.column(c).filter(near) for c in (0, 1, 4)], schema)
     return estimate
 
 
@@ -257,20 +257,24 @@ def near_duplicates(docs: DataFrame, percent: int = 80, key: str = "doc_id", tex
     banded = reps.select("rep", "signature").mapInArrow(_banded, "bucket long, rep long")
     full = banded.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).filter("n > 1")
     members = cut_lineage(banded.join(full, "bucket"))
-    pairs = members.filter("rep <> pivot").select("rep", "pivot").distinct()
-    signed = (pairs.join(by_id, "rep").withColumnRenamed("signature", "left_signature")
+    # with its most frequent first class a class shares most bands; a bucket of two has one pair
+    pairs = cut_lineage(members.filter("rep <> pivot").groupBy("rep", "pivot").agg(
+        F.count("*").alias("bands"), F.max(F.col("n") == 2).alias("alone")))
+    most = pairs.groupBy("rep").agg(F.max(F.struct("bands", F.negate("pivot").alias("p"))).alias("m")) \
+        .select("rep", F.negate("m.p").alias("pivot"), F.lit(True).alias("best"))
+    signed = (pairs.join(most, ["rep", "pivot"], "left").filter("best or alone")
+              .join(by_id, "rep").withColumnRenamed("signature", "left_signature")
               .join(by_id.select(F.col("rep").alias("pivot"), "signature"), "pivot")
-              .select("rep", "pivot", "left_signature", "signature"))
-    near = cut_lineage(signed.mapInArrow(_estimates(percent / 100 - SLACK), "rep long, pivot long, agree int"))
-    best = near.groupBy("rep").agg(F.max(F.struct("agree", "pivot")).alias("best")).select("rep", "best.pivot")
+              .select("rep", "pivot", "left_signature", "signature", F.coalesce("best", F.lit(False)).alias("best")))
+    near = cut_lineage(signed.mapInArrow(_estimates(percent / 100 - SLACK), "rep long, pivot long, best boolean"))
 
     wanted = members.select(F.col("rep").alias("id")).distinct()
     sets = cut_lineage(docs.join(wanted, docs.doc_id == wanted.id, "left_semi")
                        .mapInArrow(_set_rows, "id long, shingles binary").dropDuplicates(["id", "shingles"]))
-    return _components_of(placed, members, near, best, sets, percent)
+    return _components_of(placed, members, near, sets, percent)
 
 
-def _components_of(placed, members, near, best, sets, percent) -> DataFrame:
+def _components_of(placed, members, near, sets, percent) -> DataFrame:
     def confirmed(pairs):
         both = (pairs.join(sets.select(F.col("id").alias("rep"), F.col("shingles").alias("x")), "rep")
                 .join(sets.select(F.col("id").alias("pivot"), F.col("shingles").alias("y")), "pivot")
@@ -280,17 +284,24 @@ def _components_of(placed, members, near, best, sets, percent) -> DataFrame:
     several = (placed.filter("rep is not null").groupBy("doc_id")
                .agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low <> high").select("doc_id"))
     repeated = placed.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    links = cut_lineage(confirmed(best).unionByName(repeated))
-    found = components(links)
-
-    pairs_left = _with_component(near.join(members.filter("n = 2").select("rep", "pivot").distinct(), ["rep", "pivot"]),
-                                 found).join(best, ["rep", "pivot"], "left_anti")
-    across = _with_component(pairs_left.select(F.col("pivot").alias("rep"), F.col("rep").alias("other"),
-                                               F.col("component").alias("own")), found)
-    later = confirmed(across.filter("own <> component").select(F.col("other").alias("rep"), F.col("rep").alias("pivot")))
+    found = components(confirmed(near.filter("best").select("rep", "pivot")).unionByName(repeated))
+
+    def roots(links):
+        """The links between components that ``found`` keeps apart."""
+        for end in ("a", "b"):
+            links = (links.join(found.withColumnRenamed("node", end), end, "left")
+                     .withColumn(end, F.coalesce("component", end)).drop("component"))
+        return links.filter("a <> b")
+    pairs = near.filter(~F.col("best")).select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
+    across = roots(pairs.select("a", "b", F.col("a").alias("rep"), F.col("b").alias("pivot"))).select("rep", "pivot")
     inside = _rest(_with_component(members.filter("n > 2").select("bucket", "rep"), found), sets, percent)
-    links = cut_lineage(links.unionByName(later).unionByName(inside))
-    found = components(links)
+    more = cut_lineage(roots(confirmed(across).unionByName(inside)).select("a", "b").distinct())
+    if not more.isEmpty():
+        joined = components(more).select(F.col("node").alias("component"), F.col("component").alias("root"))
+        found = cut_lineage(found.unionByName(joined.select(F.col("component").alias("node"), "component"))
+                            .join(joined, "component", "left")
+                            .select("node", F.coalesce("root", "component").alias("component"))
+                            .groupBy("node").agg(F.min("component").alias("component")))
     return (placed.join(found.withColumnRenamed("node", "rep"), "rep", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
