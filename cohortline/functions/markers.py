@@ -24,9 +24,10 @@ def fold_markers(col: Column | str, markers: Iterable[str] = NULL_MARKERS) -> Co
 
 
 def to_number(col: Column | str) -> Column:
-    """Double, or NULL where the text is no number (ANSI casts would fail the job)."""
+    """Double, or NULL where the text is no finite number (ANSI casts would fail the job)."""
     col = F.col(col) if isinstance(col, str) else col
-    return col.try_cast("double")
+    number = col.try_cast("double")
+    return F.when(F.abs(number) < float("inf"), number)
 
 
 def to_int(col: Column | str) -> Column:

@@ -25,19 +25,24 @@ KEY = "row_key"
 SLOW_BOOSTING = Settings(boost_rounds=1000, boost_step=0.01, boost_depth=6, class_weight="none")
 
 
-def keyed(df: DataFrame, key: str = KEY) -> DataFrame:
-    """Add a key made from all columns."""
-    return df.withColumn(key, row_key(df.columns))
+def keyed(df: DataFrame, key: str = KEY, columns: Sequence[str] | None = None) -> DataFrame:
+    """Add a key made from ``columns``: by default all but the name of the source.
+
+    A row that two files share has one key, so both copies land in one split.
+    """
+    return df.withColumn(key, row_key(columns or [c for c in df.columns if c != "source"]))
 
 
 def load_diabetes(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     """Several diabetes files (name to path) with differing headers."""
-    return clean(keyed(read_csv_sources(spark, paths, DIABETES_ALIASES)), DIABETES, [KEY])
+    return clean(
+        keyed(read_csv_sources(spark, paths, DIABETES_ALIASES), columns=DIABETES.keep), DIABETES, [KEY])
 
 
 def load_diabetes_folder(spark: SparkSession, pattern: str) -> DataFrame:
     """All diabetes files behind a glob."""
-    return clean(keyed(read_csv_folder(spark, pattern, DIABETES_ALIASES)), DIABETES, [KEY])
+    return clean(
+        keyed(read_csv_folder(spark, pattern, DIABETES_ALIASES), columns=DIABETES.keep), DIABETES, [KEY])
 
 
 def load_heart(spark: SparkSession, path: str) -> DataFrame:

@@ -5,38 +5,51 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cohortline.functions.markers import NULL_MARKERS, fold_markers
 from cohortline.operators.columns import resolve_header
 from cohortline.operators.union import union_sources
 
 
+_EXTRA = "_cell_beyond_the_header"
+# A quote inside quotes is written twice.
+_QUOTES = {"quote": '"', "escape": '"'}
+
+
 def read_header(spark: SparkSession, path: str) -> list[str]:
     """The header cells as written, before Spark's case-insensitive renaming."""
-    first = spark.read.option("header", False).csv(path).first()
+    first = spark.read.options(**_QUOTES, header=False).csv(path).first()
     if first is None:
         raise ValueError(f"no header in {path}")
     return [cell if cell is not None else f"_c{i}" for i, cell in enumerate(first)]
 
 
 def _read_as_text(spark: SparkSession, paths: str | list[str], names: Sequence[str],
-                  markers: Sequence[str]) -> DataFrame:
+                  markers: Sequence[str], multi_line: bool = False) -> DataFrame:
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    raw = spark.read.schema(schema).option("header", True).csv(paths)
-    return raw.select(*[fold_markers(f"`{n}`", markers).alias(n) for n in names])
+    # One more column than the header has: a row that fills it has too many cells.
+    wide = T.StructType([*schema, T.StructField(_EXTRA, T.StringType())])
+    raw = spark.read.schema(wide).options(**_QUOTES, header=True, multiLine=multi_line, enforceSchema=True).csv(paths)
+    too_many = F.raise_error(F.lit("a CSV row has more cells than its header")).cast("boolean")
+    return raw.filter(F.when(F.col(_EXTRA).isNull(), F.lit(True)).otherwise(too_many)).select(
+        *[fold_markers(f"`{n}`", markers).alias(n) for n in names])
 
 
 def read_csv(spark: SparkSession, path: str,
              aliases: Mapping[str, Sequence[str]] | None = None,
-             markers: Sequence[str] = NULL_MARKERS) -> DataFrame:
+             markers: Sequence[str] = NULL_MARKERS, multi_line: bool = False) -> DataFrame:
     """One source (a file, or a folder of files with one header) as text columns.
 
+    Quotes inside quoted cells are doubled; a row with more cells than the header
+    fails the job, one with fewer ends in NULLs. ``multi_line`` also reads line
+    breaks inside quotes, at the price of one task per file.
+
     The schema is declared from the header line, so no inference pass reads the
     data; cells that mean "missing" become NULL.
     """
     names = resolve_header(read_header(spark, path), aliases or {})
-    return _read_as_text(spark, path, names, markers)
+    return _read_as_text(spark, path, names, markers, multi_line)
 
 
 def read_csv_sources(spark: SparkSession, paths: Mapping[str, str],

@@ -193,7 +193,10 @@ def test_promote(spark, tmp_path):
     assert promote(spark, store, "t", "XGBoost", 0.6, model) == "replace"
     assert read_record(spark, store, "t").accuracy_text == "0.6"
     assert stored_model(spark, store, "t").stages
-    broken = tmp_path / "store" / "t" / "record"
+    (tmp_path / "store" / "t" / "records" / "number=000000003").mkdir()  # a job lost half-way
+    assert read_record(spark, store, "t").accuracy_text == "0.6"
+    assert promote(spark, store, "t", "KNN", 0.2, model) == "retain"
+    broken = tmp_path / "store" / "t" / "records" / "number=000000002"
     for part in broken.glob("*.json"):
         part.write_text("{not json")
         (broken / f".{part.name}.crc").unlink(missing_ok=True)
@@ -235,3 +238,26 @@ def test_parameter_file_and_tuned_run(spark, tmp_path):
     top = {r.method: r.top for r in run.trials.groupBy("method").agg(F.max("accuracy").alias("top")).collect()}
     assert {r.method: r.accuracy for r in run.best_trials.collect()} == top
     assert stored_model(spark, str(tmp_path / "store"), "heart") is not None
+
+
+def test_quotes_and_extra_cells(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,y\n"he said ""hi"", ok",1\nplain\n')
+    rows = [tuple(r) for r in read_csv(spark, str(tmp_path / "a.csv")).collect()]
+    assert rows == [('he said "hi", ok', "1"), ("plain", None)]
+    (tmp_path / "b.csv").write_text("x,y\n1,2,3\n")
+    with pytest.raises(Exception, match="more cells"):
+        read_csv(spark, str(tmp_path / "b.csv")).collect()
+    (tmp_path / "c.csv").write_text('x,y\n"two\nlines",1\n')
+    assert read_csv(spark, str(tmp_path / "c.csv"), multi_line=True).first().x == "two\nlines"
+
+
+def test_a_row_in_two_files_has_one_key(spark):
+    from cohortline.plans.runs import keyed
+    rows = spark.createDataFrame([("1", "m", "a"), ("1", "m", "b")], "age string, sex string, source string")
+    assert keyed(rows).select("row_key").distinct().count() == 1
+
+
+def test_infinite_text_is_no_number(spark):
+    from cohortline.functions.markers import to_number
+    df = spark.createDataFrame([("Infinity",), ("NAN",), ("1.5",)], "x string")
+    assert [r[0] for r in df.select(to_number("x")).collect()] == [None, None, 1.5]

@@ -1,9 +1,10 @@
-"""MLlib classifiers on order lines. Fits have no SQL form; predictions are returned."""
+"""MLlib classifiers on order lines; four of them on a planted rule that SQL can state."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cohortline.functions.keys import hash_fraction_bucket
 from cohortline.operators import classifiers, search
 from cohortline.operators.metrics import with_class_weight
 from cohortline.operators.split import TRAIN_TEST, TRAIN_VAL_TEST, with_split
@@ -11,6 +12,7 @@ from cohortline.plans.holding import held
 from cohortline.plans.tuned import space_of, tuned_run
 from cohortline.sources.tables import read_table
 from workload.registry import query
+from workload.sqltext import bucket, split_80_10_10, split_80_20
 
 FEATURES = ["quantity", "discount", "tax", "price", "line"]
 KEY = "line_key"
@@ -28,6 +30,38 @@ def _lines(spark, folder, shares=TRAIN_VAL_TEST):
     return with_split(lines, [KEY], shares)
 
 
+PLANTED = ["discount", "tax", "line"]
+LINE_KEY = "concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR))"
+
+
+def _planted(spark, folder, shares=TRAIN_VAL_TEST):
+    """Order lines whose mark follows a rule on the discount, turned round on a tenth of the rows.
+
+    Any sound fit finds the rule, so its predictions have a SQL form.
+    """
+    lines = read_table(spark, folder, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias(KEY),
+        F.round(F.col("l_discount") * 100).alias("discount"), F.round(F.col("l_tax") * 100).alias("tax"),
+        F.col("l_linenumber").cast("double").alias("line"))
+    turned = hash_fraction_bucket([KEY], 10, "turned") == 0
+    return with_split(lines.withColumn("marked", ((F.col("discount") > 5.5) != turned).cast("int")), [KEY], shares)
+
+
+def _planted_sql(split: str) -> str:
+    """The rule's class of every test row."""
+    turned = f"{bucket(LINE_KEY, 10, 'turned')} = 0"
+    return f"""
+SELECT {LINE_KEY} AS {KEY}, round(l_discount * 100) AS discount, round(l_tax * 100) AS tax,
+       CAST(l_linenumber AS DOUBLE) AS line,
+       CAST((round(l_discount * 100) > 5.5) <> ({turned}) AS INT) AS marked,
+       CAST(round(l_discount * 100) > 5.5 AS INT)::DOUBLE AS prediction
+FROM lineitem WHERE {split} = 'test'"""
+
+
+def _found(model, lines):
+    return classifiers.score(model, _part(lines, "test")).select(KEY, *PLANTED, "marked", "prediction")
+
+
 def _part(df, name):
     return df.filter(F.col("split") == name)
 
@@ -42,13 +76,12 @@ def _fitted(lines, estimator):
         return classifiers.fit(estimator, train, FEATURES, "dear")
 
 
-@query("lr_predict")
+@query("lr_predict", _planted_sql(split_80_10_10(LINE_KEY)))
 def lr_predict(spark, folder):
-    lines = _lines(spark, folder)
+    lines = _planted(spark, folder)
     with held(_part(lines, "train")) as (train, rows):
-        model = classifiers.fit(
-            classifiers.logistic(rows, max_iter=10_000), train, FEATURES, "dear")
-    return _scored(model, lines)
+        model = classifiers.fit(classifiers.logistic(rows, max_iter=10_000), train, PLANTED, "marked")
+    return _found(model, lines)
 
 
 @query("lr_probability")
@@ -56,34 +89,37 @@ def lr_probability(spark, folder):
     lines = _lines(spark, folder, TRAIN_TEST)
     with held(_part(lines, "train")) as (train, rows):
         model = classifiers.fit(
-            classifiers.logistic(rows, max_iter=100), train, FEATURES, "dear")
+            classifiers.logistic(rows, max_iter=10_000), train, FEATURES, "dear")
     scored = classifiers.score_by_threshold(model, _part(lines, "test"))
     return scored.select(KEY, "dear", F.round("p", 6).alias("p"), "prediction")
 
 
-@query("rf_predict")
+@query("rf_predict", _planted_sql(split_80_10_10(LINE_KEY)))
 def rf_predict(spark, folder):
-    lines = _lines(spark, folder)
-    return _scored(_fitted(lines, classifiers.forest()), lines)
+    lines = _planted(spark, folder)
+    with held(_part(lines, "train")) as (train, _):
+        model = classifiers.fit(classifiers.forest(), train, PLANTED, "marked")
+    return _found(model, lines)
 
 
-@query("rf_default_predict")
+@query("rf_default_predict", _planted_sql(split_80_20(LINE_KEY)))
 def rf_default_predict(spark, folder):
-    lines = _lines(spark, folder, TRAIN_TEST)
-    return _scored(_fitted(lines, classifiers.default_forest()), lines)
+    lines = _planted(spark, folder, TRAIN_TEST)
+    with held(_part(lines, "train")) as (train, _):
+        model = classifiers.fit(classifiers.default_forest(), train, PLANTED, "marked")
+    return _found(model, lines)
 
 
-@query("gbt_predict")
+@query("gbt_predict", _planted_sql(split_80_10_10(LINE_KEY)))
 def gbt_predict(spark, folder):
-    """Weighted boosting that stops on the validation split."""
-    lines = _lines(spark, folder)
+    """Weighted boosting of up to 1000 rounds that stops on the validation split."""
+    lines = _planted(spark, folder)
     with held(lines) as (frame, _):
-        train = with_class_weight(_part(frame, "train"), "dear")
-        val = with_class_weight(_part(frame, "val"), "dear", mode="none")
+        train = with_class_weight(_part(frame, "train"), "marked")
+        val = with_class_weight(_part(frame, "val"), "marked", mode="none")
         model, _ = classifiers.fit_boosted_with_patience(
-            train, val, FEATURES, "dear", max_rounds=24, patience=10, weight_col="weight",
-            first_rounds=24)
-    return _scored(model, lines)
+            train, val, PLANTED, "marked", max_rounds=1000, patience=10, weight_col="weight")
+    return _found(model, lines)
 
 
 @query("gbt_slow_predict")

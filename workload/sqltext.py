@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-def bucket(key: str, buckets: int, salt: int = 42) -> str:
+def bucket(key: str, buckets: int, salt: int | str = 42) -> str:
     """The hash bucket of a key expression."""
     return (f"(CAST(('0x' || substr(md5(concat_ws('|', {key}, '{salt}')), 1, 8)) AS BIGINT) "
             f"% {buckets})")
