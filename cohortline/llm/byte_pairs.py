@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from cohortline.llm.inputs import batch, steps, texts_of
 
 #: Most pieces of one generation of remembered merges; a task keeps two.
-CACHED = 400_000
+CACHED = 200_000
 #: Pieces up to this many bytes are merged by plain list search, longer ones by a queue.
 PLAIN = 48
 #: Most bytes of a vocabulary file that is sent to the tasks.
