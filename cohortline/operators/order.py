@@ -21,9 +21,9 @@ def seeded_shuffle(df: DataFrame, keys: Sequence[str] | None = None, salt: int |
     ranges are offset by the running sum of their sizes: a table of at most
     4096 rows by default (65536 at most). ``keys`` default to all columns.
 
-    Equal rows are counted before the shuffle and written out again after the
-    ranking, in pieces, so a row that makes up a third of the table costs no
-    task more than its share.
+    Equal rows are counted and written out again, in pieces, before the
+    ranking. Every copy but the first adds its number to the hash, so copies
+    scatter and a row that makes up a third of the table fills no range.
     """
     if not 1 <= prefix_digits <= 4:
         raise ValueError("prefix_digits must be 1 to 4")
@@ -32,28 +32,27 @@ def seeded_shuffle(df: DataFrame, keys: Sequence[str] | None = None, salt: int |
     counted = (
         df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
         .withColumn("_hash", hash_hex(keys, salt))
-        .withColumn("_range", F.substring("_hash", 1, prefix_digits))
-    )
-    sizes = counted.groupBy("_range").agg(F.sum("_copies").alias("_rows"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    in_range = Window.partitionBy("_range").orderBy("_hash", *columns)
-    running = F.sum("_copies").over(
-        in_range.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = (
-        counted.withColumn("_first", running - F.col("_copies"))
-        .join(F.broadcast(offsets), "_range")
-        .withColumn("_first", F.col("_first") + F.col("_offset"))
     )
     last_piece = F.floor((F.col("_copies") - 1) / F.lit(_COPIES_PER_PIECE))
     pieces = (
-        placed.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last_piece)))
+        counted.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last_piece)))
         .repartition("_hash", "_piece")
     )
     start = F.col("_piece") * F.lit(_COPIES_PER_PIECE)
     stop = F.least(F.col("_copies"), start + F.lit(_COPIES_PER_PIECE)) - F.lit(1)
-    return (
+    copies = (
         pieces.withColumn("_copy", F.explode(F.sequence(start, stop)))
-        .select(*columns, (F.col("_first") + F.col("_copy")).alias(position_col))
+        .withColumn("_hash", F.when(F.col("_copy") == 0, F.col("_hash"))
+                    .otherwise(F.md5(F.concat_ws("|", "_hash", "_copy"))))
+        .withColumn("_range", F.substring("_hash", 1, prefix_digits))
+    )
+    sizes = copies.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        "_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    in_range = Window.partitionBy("_range").orderBy("_hash", *columns, "_copy")
+    return (
+        copies.withColumn("_rank", F.row_number().over(in_range))
+        .join(F.broadcast(offsets), "_range")
+        .select(*columns, (F.col("_rank") - 1 + F.col("_offset")).alias(position_col))
     )

@@ -46,10 +46,13 @@ def test_shuffle_numbers_every_row_once(spark, digits):
 
 
 def test_shuffle_of_copies(spark, monkeypatch):
-    """A row with very many copies is counted, ranked once, and written out in pieces."""
+    """A row with very many copies is counted, written out in pieces, and scattered."""
     import cohortline.operators.order as order
     monkeypatch.setattr(order, "_COPIES_PER_PIECE", 100)
     df = spark.range(3_000).select(F.when(F.col("id") < 1_000, 0).otherwise(F.col("id")).alias("x"))
     got = [(r.position, r.x) for r in seeded_shuffle(df).collect()]
     assert sorted(p for p, _ in got) == list(range(3_000))
     assert Counter(x for _, x in got)[0] == 1_000
+    ranks = sorted(p for p, x in got if x == 0)
+    thirds = [sum(low <= p < low + 1_000 for p in ranks) for low in (0, 1_000, 2_000)]
+    assert min(thirds) > 250

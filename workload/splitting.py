@@ -58,6 +58,22 @@ def seeded_shuffle_orders(spark, folder):
     return seeded_shuffle(orders, ["o_orderkey"])
 
 
+@query("seeded_shuffle_copies", """
+WITH numbered AS (
+  SELECT l_returnflag, l_linestatus, l_linenumber,
+         md5(concat_ws('|', l_returnflag, l_linestatus, CAST(l_linenumber AS VARCHAR), '42')) AS h,
+         row_number() OVER (PARTITION BY l_returnflag, l_linestatus, l_linenumber) - 1 AS copy
+  FROM lineitem)
+SELECT l_returnflag, l_linestatus, l_linenumber,
+       row_number() OVER (ORDER BY CASE WHEN copy = 0 THEN h
+                                        ELSE md5(concat_ws('|', h, CAST(copy AS VARCHAR))) END) - 1
+       AS position FROM numbered""")
+def seeded_shuffle_copies(spark, folder):
+    """Few different rows with very many copies each."""
+    return seeded_shuffle(read_table(spark, folder, "lineitem").select(
+        "l_returnflag", "l_linestatus", "l_linenumber"))
+
+
 @query("class_weight", """
 SELECT l_linestatus, count(*) FILTER (WHERE l_returnflag <> 'R') AS negatives,
        count(*) FILTER (WHERE l_returnflag = 'R') AS positives,
