@@ -36,6 +36,8 @@ SLACK = 0.2
 #: Most classes of one side of an exact comparison.
 BLOCK = 512
 CHUNK = 1 << 16
+#: A first class with more than one of so many parts of all pairs meets them in several tasks.
+PARTS = 64
 
 _SKETCH = "doc_id long, class_a long, class_b long, n_shingles long, signature binary"
 
@@ -188,6 +190,26 @@ def _forest(percent: int):
     return join
 
 
+def _with_ends(pairs: DataFrame, by_rep: DataFrame, by_pivot: DataFrame) -> DataFrame:
+    """``pairs`` (rep, pivot) joined with the rows that describe either end, a frequent pivot in pieces.
+
+    Fewer than ``PARTS`` pivots can have more than that share of all pairs, so
+    the list of them that is broadcast is bounded; their rows are repeated once
+    per piece.
+    """
+    pairs = cut_lineage(pairs)
+    counts = pairs.groupBy("pivot").agg(F.count("*").alias("n"))
+    total = max(pairs.count(), 1)
+    often = F.broadcast(cut_lineage(counts.filter(F.col("n") * PARTS > total).select(
+        "pivot", F.ceil(F.col("n") * PARTS / total).cast("int").alias("pieces"))))
+    pieces = F.coalesce("pieces", F.lit(1))
+    left = (pairs.join(by_rep, "rep").join(often, "pivot", "left").withColumn("piece", F.pmod(F.xxhash64("rep"), pieces).cast("int"))
+            .drop("pieces"))
+    right = (by_pivot.join(often, "pivot", "left").withColumn(
+        "piece", F.explode(F.sequence(F.lit(0), pieces - 1))).drop("pieces"))
+    return left.join(right, ["pivot", "piece"]).drop("piece")
+
+
 def _with_component(members: DataFrame, found: DataFrame) -> DataFrame:
     return (members.join(found.withColumnRenamed("node", "rep"), "rep", "left")
             .withColumn("component", F.coalesce("component", "rep")))
@@ -262,10 +284,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80, key: str = "doc_id", tex
         F.count("*").alias("bands"), F.max(F.col("n") == 2).alias("alone")))
     most = pairs.groupBy("rep").agg(F.max(F.struct("bands", F.negate("pivot").alias("p"))).alias("m")) \
         .select("rep", F.negate("m.p").alias("pivot"), F.lit(True).alias("best"))
-    signed = (pairs.join(most, ["rep", "pivot"], "left").filter("best or alone")
-              .join(by_id, "rep").withColumnRenamed("signature", "left_signature")
-              .join(by_id.select(F.col("rep").alias("pivot"), "signature"), "pivot")
-              .select("rep", "pivot", "left_signature", "signature", F.coalesce("best", F.lit(False)).alias("best")))
+    chosen = (pairs.join(most, ["rep", "pivot"], "left").filter("best or alone")
+              .select("rep", "pivot", F.coalesce("best", F.lit(False)).alias("best")))
+    signed = _with_ends(chosen, by_id.withColumnRenamed("signature", "left_signature"),
+                        by_id.select(F.col("rep").alias("pivot"), "signature")) \
+        .select("rep", "pivot", "left_signature", "signature", "best")
     near = cut_lineage(signed.mapInArrow(_estimates(percent / 100 - SLACK), "rep long, pivot long, best boolean"))
 
     wanted = members.select(F.col("rep").alias("id")).distinct()
@@ -276,10 +299,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, key: str = "doc_id", tex
 
 def _components_of(placed, members, near, sets, percent) -> DataFrame:
     def confirmed(pairs):
-        both = (pairs.join(sets.select(F.col("id").alias("rep"), F.col("shingles").alias("x")), "rep")
-                .join(sets.select(F.col("id").alias("pivot"), F.col("shingles").alias("y")), "pivot")
-                .select("rep", "pivot", "x", "y"))
-        return both.mapInArrow(_confirmed(percent), "a long, b long")
+        both = _with_ends(pairs, sets.select(F.col("id").alias("rep"), F.col("shingles").alias("x")),
+                          sets.select(F.col("id").alias("pivot"), F.col("shingles").alias("y")))
+        return both.select("rep", "pivot", "x", "y").mapInArrow(_confirmed(percent), "a long, b long")
 
     several = (placed.filter("rep is not null").groupBy("doc_id")
                .agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low <> high").select("doc_id"))
