@@ -194,20 +194,19 @@ def _with_ends(pairs: DataFrame, by_rep: DataFrame, by_pivot: DataFrame) -> Data
     """``pairs`` (rep, pivot) joined with the rows that describe either end, a frequent pivot in pieces.
 
     Fewer than ``PARTS`` pivots can have more than that share of all pairs, so
-    the list of them that is broadcast is bounded; their rows are repeated once
-    per piece.
+    the list of them that is broadcast is bounded, and only their rows are
+    repeated, once per piece. All other pairs are joined as they are.
     """
     pairs = cut_lineage(pairs)
     counts = pairs.groupBy("pivot").agg(F.count("*").alias("n"))
     total = max(pairs.count(), 1)
     often = F.broadcast(cut_lineage(counts.filter(F.col("n") * PARTS > total).select(
         "pivot", F.ceil(F.col("n") * PARTS / total).cast("int").alias("pieces"))))
-    pieces = F.coalesce("pieces", F.lit(1))
-    left = (pairs.join(by_rep, "rep").join(often, "pivot", "left").withColumn("piece", F.pmod(F.xxhash64("rep"), pieces).cast("int"))
-            .drop("pieces"))
-    right = (by_pivot.join(often, "pivot", "left").withColumn(
-        "piece", F.explode(F.sequence(F.lit(0), pieces - 1))).drop("pieces"))
-    return left.join(right, ["pivot", "piece"]).drop("piece")
+    frequent = pairs.join(often, "pivot").withColumn("piece", F.pmod(F.xxhash64("rep"), "pieces").cast("int")).drop("pieces")
+    repeated = (by_pivot.join(often, "pivot")
+                .withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces"))
+    few = pairs.join(often, "pivot", "left_anti").join(by_rep, "rep").join(by_pivot, "pivot")
+    return few.unionByName(frequent.join(by_rep, "rep").join(repeated, ["pivot", "piece"]).drop("piece"))
 
 
 def _with_component(members: DataFrame, found: DataFrame) -> DataFrame:
