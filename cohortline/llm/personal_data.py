@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortline.llm.inputs import hashed_sample, texts_of
@@ -42,6 +42,8 @@ GENERATORS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?![A-Za-z0-9])",
     "birth_date": r"(?<![0-9./-])[0-3]?[0-9][./-][01]?[0-9][./-](?:19|20)[0-9]{2}(?![0-9])",
 }
+#: No generator matches more code points than this, so only such neighbours overlap.
+REACH = 128
 GENERATOR_MARK = r"[0-9]|[\[(]at[\])]"
 ORDER = [*KINDS, *GENERATORS]
 
@@ -84,12 +86,14 @@ def _spans(text: str, pattern: str, mark: str, kind: int, valid=None) -> Column:
     """Accepted matches of a pattern with their code point positions, as an array of ``_SPAN``.
 
     The pieces between matches and the matches themselves add up to positions.
+    They are added up in runs of the root of their number, since an array that
+    grows by one is copied each time.
     """
     found = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
     between = F.split(F.col(text), pattern, -1)
     steps = F.zip_with(F.slice(between, 1, F.size(found)), found,
                        lambda gap, match: F.struct(F.length(gap).alias("gap"), match.alias("match")))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out"))
+    none = F.array().cast(f"array<{_SPAN}>")
 
     def add(done: Column, step: Column) -> Column:
         start = done["at"] + step["gap"]
@@ -98,8 +102,18 @@ def _spans(text: str, pattern: str, mark: str, kind: int, valid=None) -> Column:
         accepted = F.lit(True) if valid is None else valid(step["match"])
         return F.struct(end.alias("at"), F.when(accepted, F.array_append(done["out"], span))
                         .otherwise(done["out"]).alias("out"))
-    return F.when(F.col(text).rlike(mark), F.aggregate(steps, empty, add, lambda done: done["out"])) \
-        .otherwise(F.array().cast(f"array<{_SPAN}>"))
+
+    def add_run(done: Column, run: Column) -> Column:
+        return F.aggregate(run, F.struct(done["at"].alias("at"), none.alias("out")), add, lambda inner: F.struct(
+            inner["at"].alias("at"), F.array_append(done["out"], inner["out"]).alias("out")))
+
+    def in_runs(steps: Column) -> Column:
+        width = F.greatest(F.ceil(F.sqrt(F.size(steps))).cast("int"), F.lit(1))
+        return F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.slice(steps, i * width + 1, width))
+    runs = F.flatten(F.transform(F.array(steps), in_runs))  # a lambda names the steps, so that they are found once
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{_SPAN}>>").alias("out"))
+    return F.when(F.col(text).rlike(mark), F.aggregate(runs, empty, add_run, lambda done: F.flatten(done["out"]))) \
+        .otherwise(none)
 
 
 def base_spans(text: str) -> Column:
@@ -280,18 +294,18 @@ def personal_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     model = fit_spans(labelled_candidates(docs))
     rows = cut_lineage(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), base_spans("text").alias("base"),
                                    candidates("text").alias("candidates")))
+    free = F.filter("candidates", lambda c: ~F.exists("base", lambda b: (
+        b["start"] < c["end"]) & (c["start"] < b["end"])))
     proposed = (rows.filter(F.size("candidates") > 0).dropDuplicates(["doc_id", "text_hash"])
-                .select("doc_id", "text_hash", "base", F.explode("candidates").alias("c"))
-                .select("doc_id", "text_hash", "base", "c.*")
-                .filter(~F.exists("base", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"]))))
-    scored = model.selected(proposed.drop("base"))
-    best = F.collect_list(F.struct(F.col("start"), F.col("kind"), F.col("end"), F.col("score")))
-    added = scored.groupBy("doc_id", "text_hash").agg(best.alias("all")).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.transform(
-            F.filter("all", lambda s: ~F.exists(F.col("all"), lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"]) & (
-                (o["score"] > s["score"]) | ((o["score"] == s["score"]) & (
-                    (o["start"] < s["start"]) | ((o["start"] == s["start"]) & (o["kind"] < s["kind"]))))))),
-            lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))).alias("added"))
+                .select("doc_id", "text_hash", F.explode(free).alias("c")).select("doc_id", "text_hash", "c.*"))
+    span = F.struct("start", "kind", "end")
+    around = Window.partitionBy("doc_id", "text_hash").orderBy("start").rangeBetween(-REACH, REACH)
+    scored = model.selected(proposed).withColumn("near", F.collect_list(F.struct("start", "kind", "end", "score")).over(around))
+    beaten = F.exists("near", lambda o: (o["start"] < F.col("end")) & (F.col("start") < o["end"]) & (
+        (o["score"] > F.col("score")) | ((o["score"] == F.col("score")) & (
+            (o["start"] < F.col("start")) | ((o["start"] == F.col("start")) & (o["kind"] < F.col("kind")))))))
+    added = scored.filter(~beaten).groupBy("doc_id", "text_hash").agg(F.collect_list(span).alias("added")).select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "added")
     joined = rows.drop("candidates").join(
         added, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
     return joined.select("doc_id", "text_hash", "base", F.array_sort(F.when(
