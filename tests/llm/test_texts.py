@@ -198,7 +198,7 @@ def test_personal_data_base_and_added(spark):
     letters = list("a1b2.c@@+-_% ()0045 \n\té😀ab.com1.2.3.4")
     rows = [(i, "".join(rng.choice(letters) for _ in range(rng.randint(0, 80)))) for i in range(1500)]
     rows += [(2000, "a" * 3000), (2001, "1" * 3000), (2002, "a@" + "b." * 900 + "c"), (2003, "+1 " + "( " * 900),
-             (2004, "1." * 900), (2005, None), (2006, ""), (2006, ""),
+             (2004, "1." * 900), (2009, "é 1.22.3.4 x@y.zz +1 437 555 0689, " * 2000), (2005, None), (2006, ""), (2006, ""),
              (2007, "x@y.z._q@r.s 4111 1111 1111 1111 please call (499) 555-6503 now"), (2008, "plain words only")]
     found = personal_data.digests(spark.createDataFrame(rows, SCHEMA)).collect()
     assert len(found) == len(rows)
