@@ -35,17 +35,24 @@ PATTERNS = {
 MARKS = {"email": "@", "ip": "[0-9]\\.[0-9]", "card": "[0-9][\\x20-]?[0-9]", "phone": "\\+[0-9]"}
 
 #: Generators of further spans, in the order of their kinds after the base kinds.
+_MONTH = r"(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]{0,6}\.?"
 GENERATORS = {
-    "phone_local": r"(?<![0-9+])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
-    "mail_words": r"(?<![A-Za-z0-9._])[A-Za-z0-9._]{2,40}\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]{2,40}\x20?[\[(]dot[\])]\x20?[a-z]{2,10}",
-    "national_id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?![A-Za-z0-9])",
-    "birth_date": r"(?<![0-9./-])[0-3]?[0-9][./-][01]?[0-9][./-](?:19|20)[0-9]{2}(?![0-9])",
+    "phone_local": r"(?<![0-9+])\(?[0-9]{3}(?:\)[\x20.-]?|[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
+    "mail_words": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]{1,63}+"
+                  r"(?:\x20?[\[(]dot[\])]\x20?[A-Za-z0-9-]{1,63}+){1,3}",
+    "national_id": r"(?<![0-9-])[0-9]{3}[\x20-][0-9]{2}[\x20-][0-9]{4}(?![0-9-])",
+    # groups of any length; each end of a group is a candidate's end (``_prefixes``)
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+    "birth_date": r"(?<![0-9./-])(?:[0-3]?[0-9][./-][0-3]?[0-9][./-](?:19|20)[0-9]{2}"
+                  r"|(?:19|20)[0-9]{2}[./-][01]?[0-9][./-][0-3]?[0-9]"
+                  rf"|[0-3]?[0-9](?:st|nd|rd|th)?\x20{_MONTH}\x20(?:19|20)[0-9]{{2}}"
+                  rf"|(?<![A-Za-z]){_MONTH}\x20[0-3]?[0-9](?:st|nd|rd|th)?,?\x20(?:19|20)[0-9]{{2}})(?![0-9])",
 }
 #: No generator matches more code points than this, so only such neighbours overlap.
-REACH = 128
+REACH = 384
 GENERATOR_MARK = r"[0-9]|[\[(]at[\])]"
 ORDER = [*KINDS, *GENERATORS]
+IBAN = ORDER.index("iban")
 
 #: Most documents whose contexts carry planted candidates, and the share held out to calibrate.
 CONTEXTS, HELD_OUT = 1500, 3
@@ -76,6 +83,14 @@ def _bytes(match: Column) -> Column:
         F.coalesce(F.ltrim(p, F.lit("0")).try_cast("int"), F.lit(0)) <= 255))
 
 
+def _iban_rest(match: Column) -> Column:
+    """What an account number leaves modulo 97; its check digits make it 1."""
+    plain = F.regexp_replace(match, "[^0-9A-Z]", "")
+    turned = F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4))
+    return F.aggregate(F.filter(F.split(turned, ""), lambda c: c != ""), F.lit(0), lambda a, c: F.when(
+        F.ascii(c) < 65, a * 10 + F.ascii(c) - 48).otherwise(a * 100 + F.ascii(c) - 55) % 97)
+
+
 VALID = {"email": lambda m: F.lit(True), "ip": _bytes, "card": _luhn,
          "phone": lambda m: F.length(_digits(m)).between(10, 15)}
 
@@ -124,9 +139,21 @@ def base_spans(text: str) -> Column:
     return F.array_sort(plain)
 
 
+def _prefixes(spans: Column) -> Column:
+    """Every span cut behind each of its groups that leaves 15 to 34 letters and digits, and whole."""
+    def cut(s: Column) -> Column:
+        groups = F.split(s["match"], " ")
+        begun = F.transform(F.sequence(F.lit(1), F.size(groups)), lambda n: F.array_join(F.slice(groups, 1, n), " "))
+        long = F.filter(begun, lambda m: F.length(F.replace(m, F.lit(" "), F.lit(""))) >= 15)
+        return F.transform(long, lambda m: F.struct(s["start"].alias("start"), (s["start"] + F.length(m)).alias("end"),
+                                                    s["kind"].alias("kind"), m.alias("match")))
+    return F.flatten(F.transform(spans, cut))
+
+
 def candidates(text: str) -> Column:
     """What the generators propose in a text, each with its neighbourhood."""
     parts = [_spans(text, p, GENERATOR_MARK, len(KINDS) + i) for i, p in enumerate(GENERATORS.values())]
+    parts[IBAN - len(KINDS)] = _prefixes(parts[IBAN - len(KINDS)])
     return F.transform(F.concat(*parts), lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["match"].alias("match"),
         F.substring(F.col(text), F.greatest(s["start"] - BEFORE, F.lit(0)) + 1,
@@ -159,6 +186,11 @@ def _features() -> dict[str, Column]:
         "touches": (before.rlike("[A-Za-z0-9#/_-]$") | after.rlike("^[A-Za-z0-9/_-]")).cast("int"),
         "currency": (before.rlike("[$€£]\\s?$") | after.rlike("^\\s?(%|[$€£]|EUR|USD)")).cast("int"),
     }
+    iban = F.col("kind") == IBAN
+    out["account"] = F.when(iban, (_iban_rest(m) == 1).cast("int")).otherwise(0)
+    # check digits that hold end a number, whatever follows
+    out["goes_on"] = F.when(iban & (out["account"] == 0), after.rlike("^\\x20[A-Z0-9]{1,4}(?![A-Za-z0-9])").cast("int")).otherwise(0)
+    out["year"] = F.coalesce(F.regexp_extract(m, "(?<![0-9])(?:19|20)[0-9]{2}(?![0-9])", 0).try_cast("int"), F.lit(0))
     out |= {f"cue_{name}": before.rlike(cue).cast("int") for name, cue in CUES.items()}
     out |= {f"is_{name}": (F.col("kind") == len(KINDS) + i).cast("int") for i, name in enumerate(GENERATORS)}
     return {k: v.cast("double") for k, v in out.items()}
@@ -172,7 +204,10 @@ def with_features(df: DataFrame) -> DataFrame:
 
 
 def _filled(template: Column, seed: Column) -> Column:
-    """A template with # for any digit, % for one from 1, A for a capital and w for a small letter filled in."""
+    """A template with # for any digit, % for one from 1, A for a capital and w for a small letter filled in.
+
+    The first KK becomes the check digits of an account number.
+    """
     def drawn(letters: str, i: Column) -> Column:
         return F.substring(F.lit(letters), F.pmod(F.xxhash64(seed, i), F.lit(len(letters))).cast("int") + 1, F.lit(1))
 
@@ -180,7 +215,10 @@ def _filled(template: Column, seed: Column) -> Column:
         return (F.when(c == "#", drawn("0123456789", i)).when(c == "%", drawn("123456789", i))
                 .when(c == "A", drawn("ABCDEFGHIKLMNPRSTUVXZ", i)).when(c == "w", drawn("abcdefghiklmnoprstuvwz", i))
                 .otherwise(c))
-    return F.array_join(F.transform(F.split(template, ""), fill), "")
+    given = F.array_join(F.transform(F.split(F.replace(template, F.lit("KK"), F.lit("00")), ""), fill), "")
+    check = F.lpad((98 - _iban_rest(given)).cast("string"), 2, "0")
+    return F.when(template.contains("KK"), F.concat(F.substring(given, 1, 2), check, F.substring(
+        given, F.lit(5), F.length(given)))).otherwise(given)
 
 
 #: (label, words before, template) of planted candidates.
@@ -198,11 +236,25 @@ PLANTS = [
     (1, "born ", "1%.0%.19##"), (1, "birth date: ", "2#/0%/19##"), (1, "dob ", "0%-1#-19##"),
     (0, "released ", "1%.0%.20##"), (0, "updated ", "2#/0%/20##"), (0, "due ", "0%-1#-20##"), (0, "", "1%.0%.20##"),
     (0, "invoice dated ", "1%.0%.19##"),
+    (1, "ssn ", "%## ## ####"), (0, "order ", "%## ## ####"), (1, "call ", "(%##)%##-####"),
+    (1, "mail ", "wwwww.www [at] wwww [dot] wwwwww [dot] com"),
+    (1, "iban ", "AAKK##################"), (1, "account ", "AAKKAAAA##############"), (1, "", "AAKK #### #### #### #### ##"),
+    (1, "transfer to ", "AAKK AAAA #### #### ##"), (1, "bank ", "AAKK###########"), (1, "", "AAKK####################"),
+    (1, "pay ", "AAKK #### #### ###"), (1, "iban ", "AAKK AAAA #### #### #### #### #### ###"),
+    (1, "iban ", "AA##AAAA##########"), (0, "", "AA##################"), (0, "part no ", "AA## #### #### ###"),
+    (0, "sku ", "AA##AAAA####AA##"), (0, "", "AA## #### #### #### ##"),
+    (1, "born ", "19##-0%-1%"), (1, "dob ", "0%/2#/19##"), (1, "birthday ", "May 1%, 19##"), (1, "born on ", "1% March 19##"),
+    (1, "date of birth: ", "19##/1#/0%"), (0, "released ", "20##-0%-1%"), (0, "updated ", "0%/2#/20##"),
+    (0, "version ", "20##.0%.1%"), (0, "", "20##-0%-1%"), (0, "due ", "May 1%, 20##"), (0, "page of ", "1% March 20##"),
+    (0, "invoice dated ", "19##-0%-1%"),
 ]
 
 
 def labelled_candidates(docs: DataFrame, contexts: int = CONTEXTS) -> DataFrame:
-    """(label, part, candidate columns): planted candidates in the words of up to ``contexts`` documents."""
+    """(label, part, candidate columns): planted candidates in the words of up to ``contexts`` documents.
+
+    An account number cut too early or too late is a look-alike.
+    """
     some = hashed_sample(docs.select("doc_id", F.substring("text", 1, 400).alias("words")), ["doc_id", "words"], contexts)
     plants = docs.sparkSession.createDataFrame(
         [(n, *plant) for n, plant in enumerate(PLANTS)], "n int, label int, cue string, template string")
@@ -215,7 +267,10 @@ def labelled_candidates(docs: DataFrame, contexts: int = CONTEXTS) -> DataFrame:
                .withColumn("planted", F.concat(F.lit(" "), cut, F.col("cue"), F.col("filled"), F.lit(" "), words)))
     found = planted.select("doc_id", "label", "filled", F.explode(candidates("planted")).alias("c"))
     return cut_lineage(found.select("label", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(HELD_OUT)).alias("part"),
-                                    "filled", "c.*").filter("match = filled").drop("filled"))
+                                    "filled", "c.*")
+                       .withColumn("label", F.when(F.col("match") == F.col("filled"), F.col("label")).otherwise(0))
+                       .filter((F.col("match") == F.col("filled")) | ((F.col("kind") == IBAN) & (
+                           F.startswith("filled", "match") | F.startswith("match", "filled")))).drop("filled"))
 
 
 @dataclass(frozen=True)
@@ -303,7 +358,8 @@ def personal_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     scored = model.selected(proposed).withColumn("near", F.collect_list(F.struct("start", "kind", "end", "score")).over(around))
     beaten = F.exists("near", lambda o: (o["start"] < F.col("end")) & (F.col("start") < o["end"]) & (
         (o["score"] > F.col("score")) | ((o["score"] == F.col("score")) & (
-            (o["start"] < F.col("start")) | ((o["start"] == F.col("start")) & (o["kind"] < F.col("kind")))))))
+            (o["start"] < F.col("start")) | ((o["start"] == F.col("start")) & (
+                (o["kind"] < F.col("kind")) | ((o["kind"] == F.col("kind")) & (o["end"] > F.col("end")))))))))
     added = scored.filter(~beaten).groupBy("doc_id", "text_hash").agg(F.collect_list(span).alias("added")).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "added")
     joined = rows.drop("candidates").join(

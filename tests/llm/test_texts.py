@@ -227,6 +227,36 @@ def test_personal_data_model_and_redaction(spark):
     assert len(out) == 4 and personal_data.redacted(odd(spark)).count() == len(ODD)
 
 
+def test_personal_data_proposes_whole_cases(spark):
+    """Every positive plant is a candidate as it stands, and so are account numbers and dates of any country."""
+    plants = spark.createDataFrame([(n, s, t) for n, (label, _, t) in enumerate(personal_data.PLANTS) if label
+                                    for s in range(5)], "n int, seed int, template string")
+    filled = plants.withColumn("filled", personal_data._filled(F.col("template"), F.xxhash64("seed", "n"))).withColumn(
+        "text", F.concat(F.lit("words "), "filled", F.lit(" and more")))
+    found = filled.select("filled", "template", personal_data.candidates("text").alias("c"))
+    assert [r.template for r in found.filter(~F.exists("c", lambda c: c["match"] == F.col("filled"))).collect()] == []
+    whole = ["DE89370400440532013000", "GB29NWBK60161331926819", "NL91ABNA0417164300", "NO9386011117947",
+             "DE89 3704 0044 0532 0130 00", "FR14 2004 1010 0505 0001 3M02 606", "MT84MALT011000012345MTLCAST001S",
+             "1985-03-12", "03/28/1985", "March 12, 1985", "12 May 1985"]
+    rows = [(i, f"so {m} BIC and") for i, m in enumerate(whole)]
+    for r in spark.createDataFrame(rows, SCHEMA).select("doc_id", personal_data.candidates("text").alias("c")).collect():
+        proposed = [c.match for c in r.c]
+        assert whole[r.doc_id] in proposed and max(c.end - c.start for c in r.c) <= personal_data.REACH
+    rest = spark.createDataFrame([(m,) for m in whole[:7]], "m string").select(personal_data._iban_rest(F.col("m")))
+    assert [r[0] for r in rest.collect()] == [1] * 7
+
+
+def test_personal_data_takes_whole_account_numbers(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    texts = ["iban DE89 3704 0044 0532 0130 00 BIC here", "account DE89370400440532013000.", "bank GB29NWBK60161331926819 x",
+             "pay NL91ABNA0417164300 now", "born 1985-03-12 in", "dob 03/28/1985 in"]
+    wanted = ["iban [IBAN] BIC here", "account [IBAN].", "bank [IBAN] x", "pay [IBAN] now", "born [BIRTH_DATE] in",
+              "dob [BIRTH_DATE] in"]
+    rows = spark.createDataFrame([(10 ** 9 + i, t) for i, t in enumerate(texts)], SCHEMA)
+    found = personal_data.redacted(docs.unionByName(rows)).filter(f"doc_id >= {10 ** 9}").orderBy("doc_id").collect()
+    assert [r.text for r in found] == wanted
+
+
 def test_quality_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
