@@ -36,7 +36,7 @@ SYMBOLS = len(ALPHABET) + 1
 SPEAKS_FOR = re.compile(r"(?i)(secret|token|passw|credential|bearer|auth|api.?key|private.?key|access.?key|key)")
 SPEAKS_AGAINST = re.compile(r"(?i)(commit|sha\d*|md5|checksum|digest|hash|uuid|guid|etag|integrity|example|sample|func|def |class|path|url|http|www)")
 ASSIGNED = re.compile(r"[:=]\s*[\"']?$")
-SIDE_PATH = re.compile(r"(?i)(test|example|sample|mock|doc|fixture|vendor)")
+SIDE_PATH = re.compile(r"(?i)(?<![a-z])(tests?|testdata|examples?|samples?|mocks?|docs?|fixtures?|vendor)(?![a-z])")
 NAMES = ["length", "digits", "capitals", "marks", "kinds", "different", "transitions", "coverage", "longest_letters",
          "hexadecimal", "prefix", "speaks_for", "speaks_against", "assigned", "quoted", "side_path", "after_mark"]
 PREFIX = re.compile(r"^(AKIA|ASIA|ghp_|gho_|xox[abp]-|sk_live_|sk-|AIza|eyJ|glpat-)")
@@ -119,6 +119,20 @@ FORMATS = [
 ]
 
 
+#: Paths of planted findings besides the documents' own.
+PATHS = ["src/app/settings.py", "deploy/config.yaml", "lib/client.js", "tests/test_client.py", "test/data/config.yaml",
+         "examples/app.py", "docs/setup.md", "vendor/lib/client.js", "fixtures/keys.json", "mocks/server.js", "sample/run.py"]
+
+
+def _placed(label: int, candidate: str, source: str, rng: np.random.Generator) -> tuple[int, str]:
+    """The label of a planted finding at a drawn path: half have the document's own, the others one of ``PATHS``.
+
+    A key of no provider's form is a look-alike under a test-like path.
+    """
+    path = source if rng.random() < 0.5 else PATHS[int(rng.integers(len(PATHS)))]
+    return int(label and not (SIDE_PATH.search(path) and not PREFIX.match(candidate))), path
+
+
 def _planted(row: int, words: list[str], rng: np.random.Generator):
     """(label, before, candidate, after) of the labelled findings that one document's words carry."""
     for label, before, start, letters, size, after in FORMATS:
@@ -135,7 +149,7 @@ def _planted(row: int, words: list[str], rng: np.random.Generator):
     yield 0, " ", "-" * int(rng.integers(20, 80)), "\n"
 
 
-def labelled_findings(docs: DataFrame, table: np.ndarray, words: frozenset[str]) -> DataFrame:
+def labelled_findings(docs: DataFrame, table: np.ndarray, words: frozenset[str], path: str = "source") -> DataFrame:
     """(label, part, features) of planted findings in the words of up to ``CONTEXTS`` documents."""
     schema = pa.schema([("label", pa.float64()), ("part", pa.int32()), ("values", pa.list_(pa.float64()))])
     shared = docs.sparkSession.sparkContext.broadcast((table, words))
@@ -144,14 +158,17 @@ def labelled_findings(docs: DataFrame, table: np.ndarray, words: frozenset[str])
         known, dictionary_ = shared.value
         for rows in batches:
             out = [[], [], []]
-            for doc_id, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
+            for doc_id, text, source in zip(*(c.to_pylist() for c in rows.columns)):
                 rng = np.random.default_rng([SEED, (doc_id or 0) % (1 << 62)])
                 for label, before, candidate, after in _planted(doc_id, text.split(), rng):
+                    label, place = _placed(label, candidate, source, rng)
                     out[0].append(float(label))
                     out[1].append((doc_id or 0) % 4)
-                    out[2].append(features(candidate, before[-BEFORE:], after[:AFTER], "", known, dictionary_))
+                    out[2].append(features(candidate, before[-BEFORE:], after[:AFTER], place, known, dictionary_))
             yield batch(schema.names, out, schema)
-    some = hashed_sample(texts_of(docs).select("doc_id", F.substring("text", 1, 300).alias("text")), ["doc_id", "text"], CONTEXTS)
+    own = F.coalesce(F.col(path).cast("string"), F.lit("")) if path in docs.columns else F.lit("")
+    some = hashed_sample(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.substring(F.coalesce(
+        F.col("text").cast("string"), F.lit("")), 1, 300).alias("text"), own.alias("path")), ["doc_id", "text", "path"], CONTEXTS)
     return some.mapInArrow(plant, "label double, part int, values array<double>")
 
 
@@ -187,7 +204,7 @@ def secret_findings(docs: DataFrame, vocabulary: str, least: float = LEAST, key:
                         ("values", pa.list_(pa.float64()))])
     found = named.filter(F.col("text").rlike(CANDIDATE)).mapInArrow(
         _found(shared, schema), "doc_id long, start_at long, end_at long, values array<double>")
-    forest = fit_forest(labelled_findings(named, table, words))
+    forest = fit_forest(labelled_findings(named, table, words, "path"))
     if forest is None:
         return found.select("doc_id", "start_at", "end_at", F.lit(0.0).alias("score"), F.lit(False).alias("secret"))
     scored = forest.transform(found.withColumn("features", array_to_vector("values")))

@@ -301,3 +301,14 @@ def test_secrets_on_held_out_and_whole_rows(spark):
     planted = [r for r in found if r.text[max(0, r.start_at - 9):r.start_at] == 'token = "']
     assert planted and all(r.secret for r in planted)
     assert secrets.secret_findings(odd(spark).withColumn("source", F.lit(None).cast("string")), VOCABULARY).count() >= 1
+
+
+def test_secrets_depend_on_the_path(spark):
+    """A key scores less under a test-like path; a word that only holds such letters is none."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "source")
+    paths = ["src/app/main.py", "tests/test_main.py", "example/main.py", "vendor/main.py", "latest/docker/main.py"]
+    rows = spark.createDataFrame([(10 ** 9 + i, 'api_key: "3f9c0a7be1d24856a0c9e7713bd58f42"', p) for i, p in enumerate(paths)],
+                                 docs.schema)
+    found = secrets.secret_findings(docs.unionByName(rows), VOCABULARY).filter(f"doc_id >= {10 ** 9}").orderBy("doc_id")
+    plain, *side, other = [r.score for r in found.collect()]
+    assert len(side) == 3 and all(x < plain for x in side) and other == plain >= 0.5
