@@ -1,6 +1,8 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
-Every run of 20 or more key characters is a candidate. A forest scores it by
+Every run of 20 or more key characters is a candidate, and so is what stands
+after a cue (an assignment to a key, token, password or secret, Bearer, user: in
+front of @), six or more characters of any kind but space. A forest scores each by
 length, character transitions (against transitions counted over all documents),
 dictionary coverage, path and neighbouring words. It learns from labelled
 findings: secrets and look-alikes of known formats in contexts from the documents.
@@ -23,6 +25,13 @@ from cohortline.settings import cut_lineage
 
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 _CANDIDATE = re.compile(CANDIDATE)
+#: Values after a cue: the one group of a match that took part is the candidate.
+_NAME = r"(?:key|token|passw(?:or)?d|passwd|passphrase|pwd|secret|credentials?)[\w.\]-]{0,24}"
+CUED = [re.compile(rf"(?i){_NAME}[\"']?\]?\s{{0,3}}(?:=>|:=|==?|:)\s{{0,3}}(?:\"([^\"\s]{{6,}})\"|'([^'\s]{{6,}})'|([^\s\"']\S{{5,}}))"),
+        re.compile(r"(?i)(?:\bbearer|authorization[\"']?\s{0,3}[:=]\s{0,3}[\"']?(?:basic|token))\s{1,3}([^\s\"']{6,})"),
+        re.compile(r"(?<![\w.+%-])[\w.+%-]{1,64}:(?!//)([^\s]{6,256}?)@(?=[A-Za-z0-9])")]
+#: What a text must contain for a cue to be looked for.
+CUE_MARK = "(?i)key|token|passw|passphrase|pwd|secret|credential|bearer|authorization|@"
 #: Most documents whose contexts carry labelled findings.
 CONTEXTS = 1200
 TREES, DEPTH, SEED = 40, 8, 11
@@ -38,7 +47,10 @@ SPEAKS_AGAINST = re.compile(r"(?i)(commit|sha\d*|md5|checksum|digest|hash|uuid|g
 ASSIGNED = re.compile(r"[:=]\s*[\"']?$")
 SIDE_PATH = re.compile(r"(?i)(?<![a-z])(tests?|testdata|examples?|samples?|mocks?|docs?|fixtures?|vendor)(?![a-z])")
 NAMES = ["length", "digits", "capitals", "marks", "kinds", "different", "transitions", "coverage", "longest_letters",
-         "hexadecimal", "prefix", "speaks_for", "speaks_against", "assigned", "quoted", "side_path", "after_mark"]
+         "hexadecimal", "prefix", "speaks_for", "speaks_against", "assigned", "quoted", "side_path", "after_mark",
+         "refers", "in_address", "classes"]
+#: Calls, variables and places to fill, which name a secret and hold none.
+REFERS = re.compile(r"[A-Za-z_]\w*[(\[]|^[<{]|^\$[{(A-Z_]|^%\w+%$|^[A-Za-z_]+(?:\.[A-Za-z_]+)+$|[*]{4}")
 PREFIX = re.compile(r"^(AKIA|ASIA|ghp_|gho_|xox[abp]-|sk_live_|sk-|AIza|eyJ|glpat-)")
 
 
@@ -101,12 +113,15 @@ def features(candidate: str, before: str, after: str, path: str, table: np.ndarr
         max((len(r) for r in re.findall("[A-Za-z]+", candidate)), default=0), bool(re.fullmatch("[0-9a-f]+", candidate)),
         bool(PREFIX.match(candidate)), bool(SPEAKS_FOR.search(before)), bool(SPEAKS_AGAINST.search(before)),
         bool(ASSIGNED.search(before)), before[-1:] in "\"'" and before[-1:] == after[:1] and before != "",
-        bool(SIDE_PATH.search(path)), after[:1] in "\"';,)")]
+        bool(SIDE_PATH.search(path)), after[:1] in "\"';,)",
+        bool(REFERS.search(candidate)), before[-1:] == ":" and after[:1] == "@",
+        (digits > 0) + (capitals > 0) + (letters > capitals) + (marks > 0))]
 
 
 _LETTERS = {"x": "0123456789abcdef", "b": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
             "a": "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "n": "0123456789",
-            "m": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"}
+            "m": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
+            "p": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567890123456789.~!$&#%*?^"}
 #: (label, words before, fixed start, letters, how many, words after)
 FORMATS = [
     (1, 'token = "', "", "x", 40, '"'), (1, 'api_key: "', "", "x", 32, '"'), (1, "password=", "", "m", 24, " "),
@@ -116,7 +131,18 @@ FORMATS = [
     (0, "commit ", "", "x", 40, " "), (0, "sha256: ", "", "x", 64, "\n"), (0, "checksum ", "", "x", 32, " "),
     (0, 'hash = "', "", "x", 40, '"'), (0, "etag: ", "", "x", 32, "\n"), (0, "id ", "", "n", 24, " "), (0, " ", "", "n", 30, " "),
     (0, "integrity: ", "sha512-", "b", 64, "\n"), (0, "/", "", "x", 40, "/"), (0, " ", "", "x", 40, " "),
+    (1, "password=", "", "p", 8, "\n"), (1, "password=", "", "p", 12, " "), (1, 'passwd: "', "", "p", 10, '"'),
+    (1, "pwd=", "", "m", 8, " "), (1, "secret: ", "", "p", 16, "\n"), (1, "api_key = '", "", "x", 16, "'"),
+    (1, "Authorization: Bearer ", "", "m", 16, "\n"), (1, "token=", "", "p", 18, " "), (1, 'key: "', "", "x", 16, '"'),
+    (1, "postgres://admin:", "", "p", 10, "@db.internal/main"), (1, "https://user:", "", "m", 12, "@host.net/"),
+    (0, "sort key: ", "", "n", 6, " "), (0, "token count: ", "", "n", 8, "\n"), (0, "key=", "", "n", 7, " "),
+    (0, "keywords: ", "sha-", "x", 7, "\n"),
 ]
+#: What names a secret and holds none, or only says so.
+REFERENCES = [("password = ", "getpass.getpass()", "\n"), ("secret: ", "${CLIENT_SECRET}", "\n"), ("password=", "<your-password>", " "),
+              ("token = ", "os.environ[\"TOKEN\"]", "\n"), ('password: "', "********", '"'), ("api_key=", "config.api_key", ")"),
+              ("key = ", "lambda", " "), ("password: ", "required", "\n"), ("token: ", "string", "\n"), ("secret=", "$SECRET", " "),
+              ("key=", "request.args.get('key')", "\n"), ("bearer ", "tokens", " "), ("password = '", "changeme", "'")]
 
 
 #: Paths of planted findings besides the documents' own.
@@ -144,6 +170,17 @@ def _planted(row: int, words: list[str], rng: np.random.Generator):
         if len(name) >= 20:
             yield 0, " ".join(words[6:10]) + " ", name, " "
             yield 0, 'token = "', "your_" + name + "_here", '"'
+    plain = [w for w in (re.sub("[^A-Za-z]", "", w) for w in words) if len(w) >= 6][:4]
+    for word in plain:  # a word is no secret after a cue; one with figures and marks put in is
+        yield 0, str(rng.choice(["the key: ", "password: ", "token ", "bearer ", "secret: "])), word.lower(), " "
+        if rng.random() < 0.5:
+            known = word[:9].title().translate(str.maketrans("oeia", "0314")) + str(rng.choice(list("&!$~?#"))) + str(rng.integers(1, 999))
+            yield 1, str(rng.choice(["password=", "passwd: ", "secret = ", "pwd=", "token: "])), known, str(rng.choice(["\n", " "]))
+            yield 1, "ftp://" + word[:5].lower() + ":", known, "@files.net/"
+        yield 0, "mailto:", word.lower() + "." + word[:4].lower(), "@mail.org "
+    for before, reference, after in REFERENCES:
+        if rng.random() < 0.2:
+            yield 0, " ".join(words[:6]) + " " + before, reference, after
     yield 0, 'password = "', "x" * int(rng.integers(20, 40)), '"'
     yield 0, " ", "=" * int(rng.integers(20, 80)), "\n"
     yield 0, " ", "-" * int(rng.integers(20, 80)), "\n"
@@ -172,16 +209,27 @@ def labelled_findings(docs: DataFrame, table: np.ndarray, words: frozenset[str],
     return some.mapInArrow(plant, "label double, part int, values array<double>")
 
 
+def proposed(text: str) -> list[tuple[int, int]]:
+    """(start, end) of every candidate of a text from left to right, each once."""
+    spans = {m.span() for m in _CANDIDATE.finditer(text)}
+    for cue in CUED:
+        for m in cue.finditer(text):
+            value, start = m[m.lastindex].rstrip(",;"), m.start(m.lastindex)
+            if len(value) >= 6:
+                spans.add((start, start + len(value)))
+    return sorted(spans)
+
+
 def _found(shared, schema):
     def find(batches):
         known, words = shared.value
         for rows in batches:
             out: list[list] = [[] for _ in schema]
             for doc_id, text, path in zip(*(c.to_pylist() for c in rows.columns)):
-                for m in _CANDIDATE.finditer(text):
-                    values = features(m[0], text[max(0, m.start() - BEFORE):m.start()], text[m.end():m.end() + AFTER],
+                for start, end in proposed(text):
+                    values = features(text[start:end], text[max(0, start - BEFORE):start], text[end:end + AFTER],
                                       path, known, words)
-                    for column, item in zip(out, (doc_id, m.start(), m.end(), values)):
+                    for column, item in zip(out, (doc_id, start, end, values)):
                         column.append(item)
             yield batch(schema.names, out, schema)
     return find
@@ -191,7 +239,7 @@ def secret_findings(docs: DataFrame, vocabulary: str, least: float = LEAST, key:
                     path: str = "source") -> DataFrame:
     """(doc_id, start_at, end_at, score, secret) for every candidate of every row.
 
-    Positions are code points, ends exclusive. ``secret`` tells whether the
+    Positions are code points, ends exclusive; candidates may overlap. ``secret`` tells whether the
     forest's score is at least ``least``; other candidates are false positives.
     NULL or empty texts give no row, a NULL path counts as empty; repeated rows
     give theirs each; a NULL doc_id stays NULL. Other columns are not read.
@@ -202,7 +250,7 @@ def secret_findings(docs: DataFrame, vocabulary: str, least: float = LEAST, key:
     shared = docs.sparkSession.sparkContext.broadcast((table, words))
     schema = pa.schema([("doc_id", pa.int64()), ("start_at", pa.int64()), ("end_at", pa.int64()),
                         ("values", pa.list_(pa.float64()))])
-    found = named.filter(F.col("text").rlike(CANDIDATE)).mapInArrow(
+    found = named.filter(F.col("text").rlike(CANDIDATE) | F.col("text").rlike(CUE_MARK)).mapInArrow(
         _found(shared, schema), "doc_id long, start_at long, end_at long, values array<double>")
     forest = fit_forest(labelled_findings(named, table, words, "path"))
     if forest is None:

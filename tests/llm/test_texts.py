@@ -312,3 +312,18 @@ def test_secrets_depend_on_the_path(spark):
     found = secrets.secret_findings(docs.unionByName(rows), VOCABULARY).filter(f"doc_id >= {10 ** 9}").orderBy("doc_id")
     plain, *side, other = [r.score for r in found.collect()]
     assert len(side) == 3 and all(x < plain for x in side) and other == plain >= 0.5
+
+
+def test_secrets_after_a_cue(spark):
+    """Short secrets and ones of any characters are proposed and found; words and references are not secrets."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "source")
+    held = [("password=", "Tr0ub4dor&3", "\n"), ('api_key = "', "9f86d081884c7d65", '"'), ("postgres://admin:", "S3cr!t~pw9", "@db.example.org/x"),
+            ("Authorization: Bearer ", "a8Kd02LmQx7Zt5Wq", "\n"), ("secret: ", "xK9.~!vR$2mQ", "\n"), ("passwd: '", "Hx7$kQ2p", "'")]
+    none = [("password: ", "required", "\n"), ("token = ", "getpass.getpass()", "\n"), ("secret: ", "${CLIENT_SECRET}", "\n")]
+    rows = [(10 ** 9 + i, f"some text {b}{v}{a}more", "src1") for i, (b, v, a) in enumerate(held + none)]
+    found = secrets.secret_findings(docs.unionByName(spark.createDataFrame(rows, docs.schema)), VOCABULARY)
+    by_span = {(r.doc_id - 10 ** 9, rows[r.doc_id - 10 ** 9][1][r.start_at:r.end_at]): r.secret
+               for r in found.filter(f"doc_id >= {10 ** 9}").collect()}
+    assert {k: by_span.get(k) for k in ((i, v) for i, (_, v, _) in enumerate(held))} == {(i, v): True for i, (_, v, _) in enumerate(held)}
+    assert [by_span.get((len(held) + i, v)) for i, (_, v, _) in enumerate(none)] == [False] * len(none)
+    assert secrets.proposed("x" * 10 + "a" * 40) == [(0, 50)] and secrets.proposed("password=abcdef;") == [(9, 15)]
