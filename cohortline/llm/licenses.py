@@ -85,27 +85,43 @@ class Templates:
         return sorted(((s / size, s, name, words) for s, size, name, words in saved if s >= SAVED * size),
                       key=lambda r: (-r[0], r[2]))
 
-    def find(self, block: str):
-        """(name, start, end, words missing, words added, bytes saved) of the best confirmed template, or None."""
+    def find(self, block: str, at: int):
+        """(name, start, end, words missing, words added, bytes saved) of the best confirmed template over ``at``, or None.
+
+        Each template is aligned at its longest match. Where that lies beside
+        ``at``, the words up to it are left out and the rest is aligned again.
+        """
         best = None
-        words = None
-        for share, saved, name, wanted in self.ranked(block):
-            words = _words(block) if words is None else words
-            there = [w[0] for w in words]
-            seed = SequenceMatcher(None, there, wanted, autojunk=False).find_longest_match(0, len(there), 0, len(wanted))
+        words = _words(block)
+        there = [w[0] for w in words]
+        hint = next((i for i, (_, start, end) in enumerate(words) if start <= at < end), None)
+        for _, saved, name, wanted in self.ranked(block) if hint is not None else ():
             slack = len(wanted) // 8 + 1
-            low = max(0, seed.a - seed.b - slack)
-            part = there[low:seed.a - seed.b + len(wanted) + slack]
-            same = [m for m in SequenceMatcher(None, part, wanted, autojunk=False).get_matching_blocks() if m.size]
-            if not same:
-                continue
-            matched = sum(m.size for m in same)
-            begin, end = same[0].a, same[-1].a + same[-1].size
-            missing, added = len(wanted) - matched, end - begin - matched
-            if missing + added <= DIFFERENT * len(wanted):
-                rank = ((missing + added) / len(wanted), -len(wanted), name)
-                if best is None or rank < best[0]:
-                    best = rank, (name, words[low + begin][1], words[low + end - 1][2], missing, added, saved)
+            first, last = max(0, hint - len(wanted) - slack), min(len(there), hint + len(wanted) + slack)
+            while last - first >= (1 - DIFFERENT) * len(wanted):
+                seed = SequenceMatcher(None, there, wanted, autojunk=False).find_longest_match(first, last, 0, len(wanted))
+                if not seed.size:
+                    break
+                low = max(first, seed.a - seed.b - slack)
+                part = there[low:min(last, seed.a - seed.b + len(wanted) + slack)]
+                same = [m for m in SequenceMatcher(None, part, wanted, autojunk=False).get_matching_blocks() if m.size]
+                matched = sum(m.size for m in same)
+                begin, end = low + same[0].a, low + same[-1].a + same[-1].size
+                missing, added = len(wanted) - matched, end - begin - matched
+                confirmed = missing + added <= DIFFERENT * len(wanted)
+                if confirmed and begin <= hint < end:
+                    rank = ((missing + added) / len(wanted), -len(wanted), name)
+                    if best is None or rank < best[0]:
+                        best = rank, (name, words[begin][1], words[end - 1][2], missing, added, saved)
+                    break
+                if not confirmed:
+                    begin, end = seed.a, seed.a + seed.size
+                if hint < begin:
+                    last = begin
+                elif hint >= end:
+                    first = end
+                else:
+                    break
         return best and best[1]
 
 
@@ -116,17 +132,11 @@ def findings_in(text: str, templates: Templates) -> list[tuple]:
         if hint.start() < upto:
             continue
         low, high = max(upto, hint.start() - REACH), hint.end() + REACH
-        found = templates.find(text[low:high])
-        if found and low + found[1] <= hint.start() < low + found[2]:
+        found = templates.find(text[low:high], hint.start() - low)
+        if found:
             name, start, end, missing, added, saved = found
             out.append((name, low + start, low + end, missing, added, saved))
             upto = low + end
-        elif found:  # it belongs to another hint of the block; look at this one by itself
-            near = templates.find(text[max(low, hint.start() - REACH // 4):hint.end() + REACH // 4])
-            base = max(low, hint.start() - REACH // 4)
-            if near and base + near[1] <= hint.start() < base + near[2]:
-                out.append((near[0], base + near[1], base + near[2], *near[3:]))
-                upto = base + near[2]
     return out
 
 

@@ -327,3 +327,18 @@ def test_secrets_after_a_cue(spark):
     assert {k: by_span.get(k) for k in ((i, v) for i, (_, v, _) in enumerate(held))} == {(i, v): True for i, (_, v, _) in enumerate(held)}
     assert [by_span.get((len(held) + i, v)) for i, (_, v, _) in enumerate(none)] == [False] * len(none)
     assert secrets.proposed("x" * 10 + "a" * 40) == [(0, 50)] and secrets.proposed("password=abcdef;") == [(9, 15)]
+
+
+def test_licenses_beside_each_other():
+    """An edited notice is found beside an exact one of another template, and of its own."""
+    mit, line = licenses.TEMPLATES["MIT"], licenses.TEMPLATES["Apache-2.0-line"]
+    edited = mit.replace("free of charge", "at no charge")
+    known = licenses.Templates(licenses.TEMPLATES)
+
+    def found(text):
+        return [(name, text[start:end]) for name, start, end, *_ in licenses.findings_in(text, known)]
+    bare, bare_line = mit.rstrip("."), line.rstrip(".")
+    for text in (f"{edited}\n{line}", f"{line}\n{edited}", f"{edited}\n{mit}", f"{mit}\n{edited}", f"{line} {line}\n{edited}\n{line}"):
+        names = ["MIT" if "Permission" in x else "Apache-2.0-line" for x in text.replace(f"{line} {line}", f"{line}\n{line}").split("\n")]
+        assert [n for n, _ in found(text)] == names, text
+        assert all(t.rstrip(".") in (bare, edited.rstrip("."), bare_line) for _, t in found(text))
