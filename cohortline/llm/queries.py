@@ -1,11 +1,12 @@
-"""The ten operators over the given tables, each with its production parameters."""
+"""The thirteen operators over the given tables, each with its production parameters."""
 
 from __future__ import annotations
 
 import public_tokenizers
 
 from cohortline.llm import (
-    byte_pairs, licenses, mixing, near_duplicates, ordinal_quality, personal_data, secrets, top_k, url_rules, winnowing,
+    alignment, byte_pairs, hash_ring, licenses, mixing, near_duplicates, ordinal_quality, personal_data, secrets, spelling,
+    top_k, url_rules, winnowing,
 )
 from cohortline.llm.inputs import table
 from cohortline.llm.registry import query
@@ -74,3 +75,19 @@ def op9_byte_pairs(spark, folder):
 @query("op10_mixture")
 def op10_mixture(spark, folder):
     return mixing.mixture_sizes(table(spark, folder, "documents"))
+
+
+@query("op11_hash_ring")
+def op11_hash_ring(spark, folder):
+    return hash_ring.sharded(table(spark, folder, "documents"), 24).drop("home")
+
+
+@query("op12_alignment")
+def op12_alignment(spark, folder):
+    return alignment.aligned(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op13_spelling")
+def op13_spelling(spark, folder):
+    return spelling.spelling_variants(table(spark, folder, "documents"))
