@@ -218,13 +218,29 @@ def near_shapes(words: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
         hashes.select(F.col("reduced").alias("source"), F.col("reduced").alias("target")))
 
 
+def one_edit(a: str, b: str) -> bool:
+    """Whether one inserted, deleted or replaced code point turns one word into the other, in time linear in them."""
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) - len(b) > 1 or a == b:
+        return False
+    same = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(b))
+    return a[same + 1:] == (b[same + 1:] if len(a) == len(b) else b[same:])
+
+
 def near_words(words: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
     """(word, near, near_n): all ordered pairs of words exactly one edit apart; ``words`` is (word, n, shape, reduced)."""
     own = words.select("word", F.col("reduced").alias("source"))
     other = words.select(F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("reduced").alias("target"))
     pairs = near_shapes(words, bits).join(own, "source").join(other, "target")
-    return pairs.filter((F.col("word") != F.col("near")) & (F.levenshtein("word", "near", 1) == 1)).select(
-        "word", "near", "near_n")
+
+    def run(batches):
+        for rows in batches:
+            kept = [one_edit(a, b) for a, b in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist())]
+            yield rows.filter(pa.array(kept, pa.bool_()))
+
+    return pairs.filter("word <> near").select("word", "near", "near_n").mapInArrow(
+        run, "word string, near string, near_n long")
 
 
 def roots(forms: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from cohortline.llm.queries import op12_alignment
 JSON, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 ODD = [None, "", " ", "a", "Hello  world", "été naïve\n\n\n  x", "\t\r\n mixed \t", "漢字かな交じり文", "👩‍👩‍👧 ok 👍🏽", "\x00\x01", "▁ piece",
        "<|endoftext|> <s> </s> <0x41> <unk>", "don't we'll I'd", "ﬁ ① ｆｕｌｌ é", "﻿bom �    ", " " * 5000,
-       "a" * 3000, "ab1" * 20_000, "1234567890" * 50, "x\n" * 400]
+       "a" * 3000, "ab1" * 2000, "1234567890" * 50, "x\n" * 400]
 
 
 @pytest.fixture(scope="module")
