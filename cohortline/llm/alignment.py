@@ -33,6 +33,8 @@ from cohortline.settings import cut_lineage
 
 #: Bytes of text of one step; a longer text is a step of its own.
 STEP = 1 << 21
+#: Most pieces whose merges a task remembers.
+REMEMBERED = 400_000
 _PACK, _PACKED = "step long, docs binary, links binary, pairs binary", ("docs", "links", "pairs")
 _OUT = [("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
         ("n_links", pa.int64()), ("n_best", pa.int64()), ("count_sum", pa.int64()), ("groups_sha256", pa.string())]
@@ -72,6 +74,22 @@ class _Side:
         return self.data[np.repeat(self.starts[ids] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
 
 
+class _Merged(dict):
+    """Ids of pieces as packed bytes, merged by the public library, remembered up to a bound."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        import public_tokenizers
+        import tiktoken
+
+        self.encoding = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def __missing__(self, piece):
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[piece] = np.array(self.encoding._encode_single_piece(piece), "<u4").tobytes()
+        return found
+
+
 class Pair:
     """Both tokenizers, loaded once in a task's process."""
 
@@ -80,7 +98,8 @@ class Pair:
     def __init__(self, ranks: bytes, pieces: bytes):
         import sentencepiece
 
-        self.a, self.b = Vocabulary.of(ranks), sentencepiece.SentencePieceProcessor(model_proto=pieces)
+        self.a, self.b = Vocabulary(ranks), sentencepiece.SentencePieceProcessor(model_proto=pieces)
+        self.a.cache = _Merged(self.a.ranks)
         self.side_a = _Side(self.a.tokens)
         self.side_b = _Side([bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i)
                              else self.b.id_to_piece(i).replace("▁", " ").encode()
@@ -134,15 +153,20 @@ def terminals(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.nd
         jump = twice
 
 
-def written_groups(ids_a, group_a, rows_a, ids_b, group_b, rows_b, count: int) -> list[bytes]:
+def written_groups(ids_a, last_a, rows_a, ids_b, last_b, rows_b, count: int) -> list[bytes]:
     """`a1,a2|b1;a3|b2,b3` of each of ``count`` rows, made for all rows at once."""
-    place = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
-    ids = np.concatenate([ids_a, ids_b])[place]
-    group = np.concatenate([group_a, group_b])[place]
-    side = np.concatenate([np.zeros(len(ids_a), np.int8), np.ones(len(ids_b), np.int8)])[place]
-    row = np.concatenate([rows_a, rows_b])[place]
-    if not len(ids):
+    n, m = len(ids_a), len(ids_b)
+    if not n:
         return [b""] * count
+    ends = np.flatnonzero(last_b == np.arange(m))
+    group_a, group_b = np.searchsorted(ends, last_a), np.searchsorted(ends, last_b)
+    # Before an A token stand the B tokens of earlier groups, before a B token the A tokens of its own as well.
+    at_a = np.arange(n) + np.append(0, ends[:-1] + 1)[group_a]
+    at_b = np.arange(m) + np.cumsum(np.bincount(group_a, minlength=len(ends)))[group_b]
+    ids, group, row = (np.empty(n + m, np.int32) for _ in range(3))
+    side = np.zeros(n + m, bool)
+    ids[at_a], group[at_a], row[at_a] = ids_a, group_a, rows_a
+    ids[at_b], group[at_b], row[at_b], side[at_b] = ids_b, group_b, rows_b, True
     last_of_row = np.append(row[1:] != row[:-1], True)
     mark = np.full(len(ids), ord(","), np.uint8)
     mark[:-1][side[1:] != side[:-1]] = ord("|")
@@ -193,7 +217,8 @@ def aligned_step(pair: Pair, ids: pa.Array, texts: pa.Array) -> tuple[bytes, byt
     n_groups = np.bincount(rows_b[last_b == np.arange(len(ids_b))], minlength=count)
     written = written_groups(ids_a, last_a, rows_a, ids_b, last_b, rows_b, count)
     # Between two neighbouring ends of either side lies one overlap of one A and one B token.
-    ends = np.union1d(ends_a, ends_b)
+    ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+    ends = ends[np.append(True, ends[1:] != ends[:-1])[:len(ends)]]
     link_a, link_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
     rows = rows_a[link_a]
     wide = len(pair.side_b.lengths)
