@@ -7,8 +7,10 @@ fits themselves are driven trial by trial, each a distributed job.
 
 from __future__ import annotations
 
+import threading
+import uuid
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
@@ -149,16 +151,73 @@ def trial_grid(checked: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         ",", *named, F.concat(F.lit("lr="), F.coalesce(millionths, F.lit("")))))
 
 
-def sample_trials(grid: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """A seeded random draw of ``max_trial_counts`` trials per (task, method).
+#: Rounds of the permutation, and passes of it after which a number surely lies in the space.
+_ROUNDS, _PASSES = 6, 40
 
-    The draw order is a hash, so the same seed gives the same trials anywhere.
-    A group is the grid of one search, whose size the space sets.
+
+def _permuted(number: Column, seed: Column, total: Column) -> Column:
+    """Where a keyed permutation of 0 .. total - 1 takes a number.
+
+    The number is a pair (left, right) of about equal sides; each round adds a hash
+    of one half to the other. The rectangle of pairs is larger than the space by
+    less than one side, and a number outside it is permuted again: at most once per
+    number outside, and as good as never more than a few times.
     """
-    drawn = F.md5(F.concat_ws("|", "trial", F.col("seed").cast("string")))
-    window = Window.partitionBy(*by, "method").orderBy(drawn, "trial")
-    return (grid.withColumn("draw", F.row_number().over(window))
-            .filter(F.col("draw") <= F.col("max_trial_counts").cast("bigint")))
+    n_left = F.ceil(F.sqrt(total.cast("double"))).cast("bigint")
+    n_right = F.floor((total + n_left - 1) / n_left).cast("bigint")
+
+    def word(k, half):
+        text = F.concat_ws("|", seed.cast("string"), k.cast("string"), half.cast("string"))
+        return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+
+    def step(at, k):
+        turn = k % _ROUNDS
+        going = F.when(turn == 0, (k == 0) | (at["l"] * at["n"] + at["r"] >= at["t"])).otherwise(at["going"])
+        left = F.when(going & (turn % 2 == 0), (at["l"] + word(turn, at["r"])) % at["m"]).otherwise(at["l"])
+        right = F.when(going & (turn % 2 == 1), (at["r"] + word(turn, at["l"])) % at["n"]).otherwise(at["r"])
+        return F.struct(left.alias("l"), right.alias("r"), at["m"].alias("m"), at["n"].alias("n"), at["t"].alias("t"),
+                        going.alias("going"))
+
+    start = F.struct(F.floor(number / n_right).cast("bigint").alias("l"), (number % n_right).alias("r"),
+                     n_left.alias("m"), n_right.alias("n"), total.alias("t"), F.lit(True).alias("going"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(_ROUNDS * _PASSES - 1)), start, step, lambda at: at["l"] * at["n"] + at["r"])
+
+
+def draw_trials(checked: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """A seeded random draw of ``max_trial_counts`` trials per (task, method), without their grid.
+
+    Trials are numbered rate by rate; draw i is the number that a keyed permutation
+    of all numbers takes i to. So a space of any size (up to 2^52 combinations) costs
+    as many rows as trials are drawn, and the same seed gives the same trials
+    anywhere. ``trial`` is the number as text; columns of axes a method lacks are NULL.
+    """
+    sound = checked.filter(F.col("reason").isNull()) if "reason" in checked.columns else checked
+    axis = {"_rates": F, "_rate_low": F, "_rate_by": F, "_wholes": F, "_low": F, "_by": F}
+    methods_of: dict[str, list[str]] = {}
+    for method, axes in AXES.items():
+        mine = F.col("method") == method
+        for name, prefix, kind in axes:
+            methods_of.setdefault(name, []).append(method)
+            names = ("_rates", "_rate_low", "_rate_by") if kind == "double" else ("_wholes", "_low", "_by")
+            low, high, by_ = (_bound(prefix, b, kind) for b in BOUNDS)
+            count = F.greatest(F.floor(F.try_divide((high - low).cast("double"), by_.cast("double")) + F.lit(1e-9)) + 1, F.lit(0))
+            for column, value in zip(names, (count.cast("bigint"), low, by_)):
+                axis[column] = axis[column].when(mine, value)
+    # A method without rates has one, which stands for none.
+    read = sound.select(*by, "method", "seed", *COUNTS, *[
+        F.coalesce(c.otherwise(None), F.lit(1).cast("bigint")).alias(n) if n in ("_rates", "_wholes") else c.otherwise(None).alias(n)
+        for n, c in axis.items()])
+    read = read.withColumn("_total", F.col("_rates") * F.col("_wholes"))
+    most = F.least(F.col("max_trial_counts").cast("bigint"), F.col("_total"))
+    drawn = (read.filter("_total > 0").filter(most > 0)
+             .withColumn("_draw", F.explode(F.sequence(F.lit(0).cast("bigint"), most - 1)))
+             .withColumn("_number", _permuted(F.col("_draw"), F.col("seed"), F.col("_total"))))
+    rate = F.floor(F.col("_number") / F.col("_wholes")).cast("bigint")
+    whole = F.col("_low") + (F.col("_number") % F.col("_wholes")) * F.col("_by")
+    return drawn.select(
+        *by, "method", "seed", *COUNTS, F.round(F.col("_rate_low") + rate * F.col("_rate_by"), 10).alias("lr"),
+        *[F.when(F.col("method").isin(*methods_of[n]), whole).cast("bigint").alias(n) for n in ("ne", "nn", "it")],
+        F.col("_number").cast("string").alias("trial"), (F.col("_draw") + 1).alias("draw"))
 
 
 def best_trial(trials: DataFrame, by: Sequence[str] = (), params: Sequence[str] = ("trial",),
@@ -187,29 +246,53 @@ def run_trials(spark: SparkSession, trials: Sequence[dict], objective: Callable[
                parallel: int = 1, goal: float = GOAL, max_failed: int = 0) -> list[TrialResult]:
     """Score trials until one reaches the goal or more than ``max_failed`` fail.
 
-    Each objective call is a distributed fit; up to ``parallel`` run at once,
-    sharing the cluster. A failed trial is recorded and does not stop the
-    search by itself.
+    Each objective call is a distributed fit; up to ``parallel`` run at once, and the
+    next one starts as soon as one ends. The jobs of a trial carry a tag of its own: at
+    the goal, or after too many failures, the jobs of the trials still running are
+    cancelled and their results left out. A failed trial is recorded and does not
+    stop the search by itself.
     """
-    def attempt(params: dict) -> TrialResult:
+    sc = spark.sparkContext
+    search = uuid.uuid4().hex
+    stopping = threading.Event()
+
+    def attempt(number: int, params: dict) -> TrialResult | None:
+        sc.addJobTag(f"{search}-{number}")
         try:
+            if stopping.is_set():
+                return None
             return TrialResult(params["trial"], params, float(objective(params)))
         except Exception as problem:  # a trial may fail for any reason
             return TrialResult(params["trial"], params, None, str(problem))
+        finally:
+            sc.removeJobTag(f"{search}-{number}")
 
     done: list[TrialResult] = []
-    parallel = max(1, parallel)
-    with ThreadPoolExecutor(parallel) as pool:
-        for start in range(0, len(trials), parallel):
-            wave = [pool.submit(inheritable_thread_target(spark)(attempt), dict(p))
-                    for p in trials[start:start + parallel]]
-            done.extend(job.result() for job in wave)
-            failed = sum(r.error is not None for r in done)
-            if failed > max_failed:
-                raise RuntimeError(f"{failed} trials failed, the last: "
-                                   f"{[r.error for r in done if r.error][-1]}")
-            if any(r.accuracy is not None and r.accuracy >= goal for r in done):
+    waiting = list(enumerate(trials))[::-1]
+    running: dict = {}
+    problem = None
+    with ThreadPoolExecutor(max(1, parallel)) as pool:
+        while waiting or running:
+            while waiting and len(running) < max(1, parallel):
+                number, params = waiting.pop()
+                running[pool.submit(inheritable_thread_target(spark)(attempt), number, dict(params))] = number
+            ended, _ = wait(running, return_when=FIRST_COMPLETED)
+            # Those that ended together count in the order in which they were drawn.
+            for job in sorted(ended, key=running.__getitem__):
+                del running[job]
+                done.append(job.result())
+            failed = [r.error for r in done if r.error is not None]
+            if len(failed) > max_failed:
+                problem = f"{len(failed)} trials failed, the last: {failed[-1]}"
+            if problem or any(r.accuracy is not None and r.accuracy >= goal for r in done):
+                stopping.set()
+                # A trial between two jobs has none to cancel, so its tag is cancelled until it has ended.
+                while wait(running, timeout=0.1).not_done:
+                    for number in running.values():
+                        sc.cancelJobsWithTag(f"{search}-{number}")
                 break
+    if problem:
+        raise RuntimeError(problem)
     return done
 
 

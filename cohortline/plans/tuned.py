@@ -7,8 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortline.operators import classifiers, metrics, search
+from cohortline.operators.boosting import Boosting, fit_boosted
 from cohortline.operators.columns import feature_columns
 from cohortline.operators.nearest import fit_nearest
+from cohortline.operators.pure_forest import fit_forest
 from cohortline.plans.comparison import KNN, LR, RF, XGB, evaluate
 from cohortline.plans.holding import held
 from cohortline.sources.metrics import metrics_rows
@@ -29,18 +31,15 @@ class TunedRun:
 
 
 def fit_trial(method: str, params: dict, train: DataFrame, features, label: str, key: str,
-              rows: int, depth: int = 6, forest_depth: int = 10):
-    """Fit one method with the parameters of a trial."""
+              rows: int, depth: int = 6):
+    """Fit one method with the parameters of a trial; forests grow to purity."""
     seed = int(params.get("seed") or search.DEFAULT_SEED)
     if method == "lr":
         return classifiers.fit(classifiers.logistic(rows, int(params["it"])), train, features, label)
     if method == "xgboost":
-        return classifiers.fit(
-            classifiers.boosted(int(params["ne"]), float(params["lr"]), depth, seed),
-            train, features, label)
+        return fit_boosted(train, features, label, Boosting(int(params["ne"]), float(params["lr"]), depth))
     if method == "random_forest":
-        return classifiers.fit(
-            classifiers.forest(int(params["ne"]), forest_depth, seed), train, features, label)
+        return fit_forest(train, features, label, key, int(params["ne"]), seed)
     if method == "knn":
         return fit_nearest(train, features, key, label, int(params["nn"]))
     raise ValueError(f"unknown method {method!r}")
@@ -57,7 +56,7 @@ def tuned_run(df: DataFrame, space: DataFrame, label: str, key: str, run_id: str
     """
     spark: SparkSession = df.sparkSession
     checked = search.sound_space(space)
-    drawn = search.sample_trials(search.trial_grid(checked))
+    drawn = search.draw_trials(checked)
     per_method: dict[str, list[dict]] = {}
     for row in drawn.orderBy("method", "draw").collect():
         per_method.setdefault(row["method"], []).append(row.asDict())

@@ -1,4 +1,6 @@
 import threading
+import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,11 +57,40 @@ def test_reversed_bounds_give_no_trials(spark):
     assert search.trial_grid(space).count() == 0
 
 
-def test_sample_is_bounded_and_repeatable(spark):
-    grid = search.trial_grid(search.sound_space(space_of(spark, xgboost=XGB)))
-    one = sorted(r.trial for r in search.sample_trials(grid).collect())
-    two = sorted(r.trial for r in search.sample_trials(grid.repartition(5)).collect())
-    assert one == two and len(one) == 4
+def test_draw_is_bounded_repeatable_and_from_the_grid(spark):
+    space = search.sound_space(space_of(spark, xgboost=XGB, lr=LR, knn={**KNN, "random_state": 5}))
+    columns = ["method", "trial", "lr", "ne", "nn", "it"]
+    one = sorted(map(str, search.draw_trials(space).select(columns).collect()))
+    assert one == sorted(map(str, search.draw_trials(space.repartition(5)).select(columns).collect()))
+    per_method = Counter(r.method for r in search.draw_trials(space).collect())
+    assert per_method == {"xgboost": 4, "lr": 3, "knn": 3}
+    grid = {(r.method, r.lr, r.ne, r.nn, r.it) for r in search.trial_grid(space).collect()}
+    drawn = [(r.method, r.lr, r.ne, r.nn, r.it) for r in search.draw_trials(space).collect()]
+    assert len(set(drawn)) == len(drawn) and set(drawn) <= grid
+
+
+@pytest.mark.parametrize("total", [1, 2, 3, 5, 12, 97, 1000, 4099])
+def test_draws_are_a_permutation(spark, total):
+    space = search.sound_space(space_of(spark, lr={**LR, "iterators_min": 1, "iterators_max": total, "iterators_step": 1,
+                                                   "max_trial_counts": total + 10, "random_state": total}))
+    rows = search.draw_trials(space).collect()
+    assert sorted(r.it for r in rows) == list(range(1, total + 1))
+    assert sorted(r.draw for r in rows) == list(range(1, total + 1))
+    if total >= 97:
+        assert [r.it for r in sorted(rows, key=lambda r: r.draw)] != list(range(1, total + 1))
+
+
+def test_a_space_of_10_to_the_12(spark):
+    huge = {**XGB, "learning_rate_min": 0.000001, "learning_rate_max": 1.0, "learning_rate_step": 0.000001,
+            "n_estimators_min": 1, "n_estimators_max": 1_000_000, "n_estimators_step": 1, "max_trial_counts": 200}
+    rows = search.draw_trials(search.sound_space(space_of(spark, xgboost=huge))).collect()
+    assert len({r.trial for r in rows}) == 200 == len({(r.lr, r.ne) for r in rows})
+    assert max(int(r.trial) for r in rows) > 9 * 10 ** 11 and min(int(r.trial) for r in rows) < 10 ** 11
+
+
+def test_reversed_bounds_give_no_draws(spark):
+    space = search.sound_space(space_of(spark, lr={**LR, "iterators_min": 50}))
+    assert search.draw_trials(space).collect() == []
 
 
 def test_best_trial_takes_the_first_of_equals(spark, rows_of):
@@ -99,9 +130,59 @@ def test_search_runs_in_parallel(spark):
 
 
 def test_search_finds_a_planted_optimum(spark):
-    grid = search.trial_grid(search.sound_space(space_of(spark, xgboost={**XGB, "max_trial_counts": 9})))
-    trials = [r.asDict() for r in search.sample_trials(grid).collect()]
+    grid = search.sound_space(space_of(spark, xgboost={**XGB, "max_trial_counts": 9}))
+    trials = [r.asDict() for r in search.draw_trials(grid).collect()]
     done = search.run_trials(spark, trials, lambda p: 0.9 - abs(p["lr"] - 0.2) - abs(p["ne"] - 15) / 100)
     from cohortline.operators.search import trials_table
     best = search.best_trial(trials_table(spark, {"xgboost": done}), params=("lr", "ne")).first()
     assert (best.lr, best.ne) == (0.2, 15)
+
+
+def test_the_goal_cancels_slow_trials(spark):
+    """Trial 1 would take minutes; it is cancelled, between jobs or inside one, once trial 0 is at the goal."""
+    begun = threading.Event()
+
+    def slow(x):
+        import time as clock
+        clock.sleep(120)
+        return x
+
+    def objective(p):
+        if p["i"]:
+            begun.set()
+            spark.range(2).rdd.map(slow).count()
+            return 0.2
+        begun.wait(20)
+        time.sleep(1)
+        return 0.995
+    start = time.monotonic()
+    done = search.run_trials(spark, _trials(5), objective, parallel=2)
+    assert [(r.trial, r.accuracy) for r in done] == [("0", 0.995)]
+    assert time.monotonic() - start < 60
+    assert spark.range(10).count() == 10
+
+
+def test_the_next_trial_starts_as_soon_as_one_ends(spark):
+    """One slow trial beside four quick ones: nothing waits for it."""
+    ended = []
+
+    def objective(p):
+        if p["i"] == 0:
+            while len(ended) < 4:
+                time.sleep(0.05)
+            return 0.1
+        ended.append(p["i"])
+        return 0.1
+    assert len(search.run_trials(spark, _trials(5), objective, parallel=2)) == 5
+
+
+def test_too_many_failures_cancel_the_rest(spark):
+    def objective(p):
+        if p["i"] == 0:
+            raise ArithmeticError("no fit")
+        spark.range(1).rdd.map(lambda x: __import__("time").sleep(120)).count()
+        return 0.5
+    start = time.monotonic()
+    with pytest.raises(RuntimeError, match="no fit"):
+        search.run_trials(spark, _trials(3), objective, parallel=2)
+    assert time.monotonic() - start < 60

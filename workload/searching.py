@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cohortline.operators import search
 from cohortline.sources.tables import read_table
 from workload.registry import query
+from workload.sqltext import draws
 
 # Bounds as text, some missing, unreadable or even: valid in both SQL dialects.
 BOUNDS = {
@@ -130,16 +131,18 @@ def trial_grid(spark, folder):
         "task", "method", "trial", "seed", "lr", "ne", "nn", "it")
 
 
-@query("trial_sample", GRID + """
-, drawn AS (SELECT task, method, trial, row_number() OVER (
-              PARTITION BY task, method
-              ORDER BY md5(concat_ws('|', trial, CAST(seed AS VARCHAR))), trial) AS draw,
-            CAST(max_trial_counts AS BIGINT) AS most FROM grid)
-SELECT task, method, trial, draw FROM drawn WHERE draw <= most""")
+_COUNT = "greatest(floor((CAST({0}_max AS DOUBLE) - CAST({0}_min AS DOUBLE)) / CAST({0}_step AS DOUBLE) + 1e-9) + 1, 0)"
+_TOTAL = " ".join(f"WHEN '{m}' THEN {' * '.join(_COUNT.format(p) for q, p, _ in _AXES if q == m)}" for m in METHODS)
+
+
+@query("trial_sample", CHECKED.replace("WITH", "WITH RECURSIVE", 1) + f""",
+spaces AS (SELECT task, method, seed, CAST(CASE method {_TOTAL} END AS BIGINT) AS total,
+                  CAST(max_trial_counts AS BIGINT) AS most FROM checked WHERE reason IS NULL),
+{draws('spaces', 'task, method')}
+SELECT task, method, CAST(number AS VARCHAR) AS trial, draw FROM drawn""")
 def trial_sample(spark, folder):
-    grid = search.trial_grid(search.space_problems(search_space(spark, folder)), ["task"])
-    return search.sample_trials(grid, ["task"]).select(
-        "task", "method", "trial", F.col("draw").cast("bigint").alias("draw"))
+    checked = search.space_problems(search_space(spark, folder))
+    return search.draw_trials(checked, ["task"]).select("task", "method", "trial", "draw")
 
 
 @query("best_trial", """
