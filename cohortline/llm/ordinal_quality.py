@@ -184,13 +184,15 @@ def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Labels without quality or doc_id are left out, a missing toxic mark counts
     as 0; labels of unknown documents give nothing. The labels are chosen by
-    hash before the join, so what is sent to the tasks has at most that many rows.
+    hash before the join, so what is sent to the tasks has at most that many rows; of
+    a doc_id with several texts the first in code point order is rated.
     """
     grade = F.when(F.col("quality") == 0, 0).when(F.coalesce("toxic", F.lit(0)) == 1, 1).otherwise(2)
     chosen = hashed_sample(labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "toxic")
                            .filter("doc_id is not null and quality is not null")
                            .select("doc_id", grade.alias("grade")), ["doc_id", "grade"], RATINGS)
-    return texts_of(docs).join(F.broadcast(chosen), "doc_id").select("grade", "text")
+    return (texts_of(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "grade")
+            .agg(F.min("text").alias("text")).select("grade", "text"))
 
 
 #: Least chance of the top grade that a selected document must have.

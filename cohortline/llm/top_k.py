@@ -6,10 +6,15 @@ w ((m - m')^2 + (s - s')^2), which is the same bound. Summed over few long
 segments, then over more short ones, it rules out candidates that can't reach a
 query's k-th best score so far; the rest get exact integer scores. Queries go to
 the tasks in batches of bounded size, candidates stay where they are read.
+
+Bounds and scores are made for tiles of queries and candidates as matrix products.
+Where few pairs of a tile survive, they are scored one by one, else the whole tile
+is. A level that ruled out few pairs lately rests for some tiles.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -22,8 +27,12 @@ from cohortline.settings import cut_lineage
 
 #: Most bytes of query components that are sent to the tasks at once.
 QUERY_BYTES = 8 << 20
-#: Candidates that are bounded together, pairs that are scored together.
-BLOCK, PAIRS = 1024, 1 << 18
+#: Candidates and queries of a tile, pairs that are scored together.
+BLOCK, TILE, PAIRS = 1024, 1024, 1 << 18
+#: Share of a tile up to which survivors are scored one by one: that costs as much as 100 pairs of a product.
+FEW = 0.01
+#: Share of the pairs that a level must rule out, and the tiles for which it rests if it does not.
+WORTH, REST = 0.3, 15
 #: Components per segment, coarse to fine.
 SEGMENTS = (16, 4)
 
@@ -74,30 +83,61 @@ def _exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.array([max(-2 ** 63, min(2 ** 63 - 1, s)) for s in sums], np.int64)
 
 
-def _search(best: _Best, q: np.ndarray, q_ids: np.ndarray, q_levels, x: np.ndarray, ids: np.ndarray, number) -> None:
+class _Levels:
+    """Which levels of a search are worth their products; changes the work, never the result."""
+
+    def __init__(self):
+        self.rest = [0] * len(SEGMENTS)
+
+    def asked(self, level: int) -> bool:
+        self.rest[level] -= 1
+        return self.rest[level] < 0
+
+    def saw(self, level: int, before: int, after: int) -> None:
+        self.rest[level] = 0 if after <= (1 - WORTH) * before else REST
+
+
+def _bounded(q_level, x_level) -> np.ndarray:
+    """Upper bounds of the scores of a tile, a little above for rounding."""
+    norms = np.linalg.norm(q_level, axis=1)[:, None] * np.linalg.norm(x_level, axis=1)[None, :]
+    return q_level @ x_level.T + 1e-9 * norms + 1
+
+
+def _search(best: _Best, q: np.ndarray, q_ids: np.ndarray, q_levels, x: np.ndarray, ids: np.ndarray, number,
+            levels: _Levels) -> None:
     """Offer candidates x to all queries q of the same length; ``number`` are the queries' places in ``best``."""
+    small = q.size and x.size and np.abs(q).max() * np.abs(x).max() * q.shape[1] < 2.0 ** 53
     for low in range(0, len(x), BLOCK):
         part, part_ids = x[low:low + BLOCK], ids[low:low + BLOCK]
-        levels = [_statistics(part, w) for w in SEGMENTS] if part.shape[1] else []
-        if levels:
-            bound = q_levels[0] @ levels[0].T
-            slack = 1e-9 * (np.linalg.norm(q_levels[0], axis=1)[:, None] * np.linalg.norm(levels[0], axis=1)[None, :]) + 1
-            i, j = np.nonzero(bound + slack >= best.floor[number][:, None])
-        else:
-            i, j = (a.ravel() for a in np.indices((len(q), len(part))))
-        other = q_ids[i] != part_ids[j]
-        i, j = i[other], j[other]
-        for at in range(0, len(i), PAIRS):
-            a, b = i[at:at + PAIRS], j[at:at + PAIRS]
-            for finer_q, finer_x in list(zip(q_levels, levels))[1:]:
-                u, v = finer_q[a], finer_x[b]
-                reach = np.einsum("ij,ij->i", u, v)
-                slack = 1e-9 * np.sqrt(np.einsum("ij,ij->i", u, u) * np.einsum("ij,ij->i", v, v)) + 1
-                able = reach + slack >= best.floor[number[a]]
-                a, b = a[able], b[able]
-            score = _exact(q[a], part[b])
-            able = score >= best.floor[number[a]]
-            best.add(number[a[able]], score[able], part_ids[b[able]])
+        x_levels = [_statistics(part, w) for w in SEGMENTS] if part.shape[1] else []
+        for first in range(0, len(q), TILE):
+            rows = slice(first, first + TILE)
+            floor = best.floor[number[rows]][:, None]
+            able = q_ids[rows][:, None] != part_ids[None, :]
+            count = int(able.sum())
+            for level, (q_level, x_level) in enumerate(zip(q_levels, x_levels)):
+                if count <= FEW * able.size or not levels.asked(level):
+                    continue
+                able &= _bounded(q_level[rows], x_level) >= floor
+                before, count = count, int(able.sum())
+                levels.saw(level, before, count)
+            if not count:
+                continue
+            if small and count > FEW * able.size:
+                scores = q[rows] @ part.T  # whole numbers below 2^53: exact in any order
+                scores[~able] = -np.inf
+                able = scores >= np.maximum(floor, -2.0 ** 60)
+                if able.sum() > 4 * best.k * len(scores) and scores.shape[1] > best.k:
+                    able &= scores >= np.partition(scores, -best.k, axis=1)[:, [-best.k]]
+                i, j = np.nonzero(able)
+                best.add(number[rows][i], scores[i, j].astype(np.int64), part_ids[j])
+                continue
+            i, j = np.nonzero(able)
+            for at in range(0, len(i), PAIRS):
+                a, b = i[at:at + PAIRS], j[at:at + PAIRS]
+                score = _exact(q[rows][a], part[b])
+                kept = score >= best.floor[number[rows][a]]
+                best.add(number[rows][a[kept]], score[kept], part_ids[b[kept]])
 
 
 def _usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -134,16 +174,21 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, key: str = "vec_id",
     asked = rows.filter(F.pmod("vec_id", F.lit(every)) == 0).distinct()
     count, most = asked.agg(F.count("*"), F.max(F.size("vector"))).first()
     parts = max(1, math.ceil(count * max(most or 0, 1) * 16 / QUERY_BYTES))
-    found = None
+    found = []
     for part in range(parts if count else 0):
         some = asked.filter(F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(parts)) == part)
         queries = sorted((r.vec_id, tuple(r.vector)) for r in some.collect())
+        if not queries:
+            continue
         result = _batch(rows, queries, k)
-        found = result if found is None else found.unionByName(result)
-        if parts > 1:
-            found = cut_lineage(found)
-    if found is None:
-        found = rows.sparkSession.createDataFrame([], "query long, query_id long, vec_id long, score long")
+        # Each batch is written once; the best of its queries are all it leaves.
+        found.append(cut_lineage(_ranked(result, k)) if parts > 1 else _ranked(result, k))
+    if not found:
+        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
@@ -160,7 +205,7 @@ def _batch(rows: DataFrame, queries: list, k: int) -> DataFrame:
 
     def run(batches):
         number, names, groups = shared.value
-        best = _Best(number, k)
+        best, levels = _Best(number, k), _Levels()
         ready = {}
         for n, (at, q_ids, raw) in groups.items():
             q = whole_numbers(raw)
@@ -169,7 +214,7 @@ def _batch(rows: DataFrame, queries: list, k: int) -> DataFrame:
             ids = part.column(0).to_numpy()
             for length, at, x in _by_length(part.column(1)):
                 if length in ready:
-                    q, q_ids, levels, places = ready[length]
-                    _search(best, q, q_ids, levels, x, ids[at], places)
+                    q, q_ids, q_levels, places = ready[length]
+                    _search(best, q, q_ids, q_levels, x, ids[at], places, levels)
         yield batch(schema.names, [best.query, names[best.query], best.id, best.score], schema)
     return rows.mapInArrow(run, "query long, query_id long, vec_id long, score long")
