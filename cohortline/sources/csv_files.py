@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -60,27 +59,46 @@ def read_csv_sources(spark: SparkSession, paths: Mapping[str, str],
                           for name, path in paths.items()})
 
 
+def folder_headers(spark: SparkSession, pattern: str) -> dict[tuple[str, ...], list[str]]:
+    """The files behind a glob by their header cells, from one job, however many files there are.
+
+    The first line of a file is the first row of the piece that starts at its first
+    byte, and that piece lies in one task, so the first row a task meets is it.
+    Empty files have no header and are an error.
+    """
+    lines = spark.read.text(pattern).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    first = lines.filter("file_block_start = 0").groupBy("file_path").agg(F.first("value").alias("line"))
+    found = {r.file_path: r.line for r in first.collect()}
+    without = [f for f in spark.read.format("binaryFile").load(pattern).filter("length = 0").select("path").toPandas()["path"]]
+    if without:
+        raise ValueError(f"no header in {sorted(without)[0]}")
+    if not found:
+        raise ValueError(f"no file matches {pattern}")
+    cells = {line: tuple(c if c is not None else f"_c{i}" for i, c in enumerate(row)) for line, row in _parsed(spark, found)}
+    out: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(found):
+        out.setdefault(cells[found[file]], []).append(file)
+    return out
+
+
+def _parsed(spark: SparkSession, found: Mapping[str, str]):
+    """The cells of every different header line, parsed as Spark parses files."""
+    for line in sorted(set(found.values())):
+        yield line, spark.read.options(**_QUOTES, header=False).csv(spark.sparkContext.parallelize([line], 1)).first()
+
+
 def read_csv_folder(spark: SparkSession, pattern: str,
                     aliases: Mapping[str, Sequence[str]],
-                    markers: Sequence[str] = NULL_MARKERS,
-                    threads: int = 8) -> DataFrame:
+                    markers: Sequence[str] = NULL_MARKERS) -> DataFrame:
     """Every CSV file behind a glob, whatever the order of its columns.
 
     A single read would match columns by position and mix files with different
-    headers. Headers are read in parallel (one line each), then files that
-    share a header are read together: the plan grows with the number of
-    distinct headers, not with the number of files.
+    headers. One job reads all headers, then files that share a header are read
+    together: jobs and plan grow with the number of distinct headers, not with the
+    number of files.
     """
-    files = sorted(spark.read.text(pattern).inputFiles())
-    if not files:
-        raise ValueError(f"no file matches {pattern}")
-    with ThreadPool(threads) as pool:
-        headers = pool.map(lambda f: tuple(read_header(spark, f)), files)
-    files_of: dict[tuple[str, ...], list[str]] = {}
-    for header, file in zip(headers, files):
-        files_of.setdefault(header, []).append(file)
     frames = {
         f"header_{i}": _read_as_text(spark, group, resolve_header(list(header), aliases), markers)
-        for i, (header, group) in enumerate(files_of.items())
+        for i, (header, group) in enumerate(folder_headers(spark, pattern).items())
     }
     return union_sources(frames).drop("source")

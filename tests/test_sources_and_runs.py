@@ -1,6 +1,8 @@
 import csv
 import json
 import random
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from cohortline.plans import runs
 from cohortline.plans.comparison import Settings
 from cohortline.plans.specs import AGE_BANDS
 from cohortline.sources import metrics as metric_files
-from cohortline.sources.csv_files import read_csv, read_csv_folder
+from cohortline.sources.csv_files import folder_headers, read_csv, read_csv_folder
 from cohortline.sources.models import promote, read_record, stored_model
 from cohortline.sources.tables import copy_splits, read_split, write_splits, write_table
 
@@ -72,6 +74,24 @@ def test_folder_reads_one_plan_per_header(spark, tmp_path):
     assert plan.count("Relation [") == 2
 
 
+def test_headers_of_many_files_come_from_one_job(spark, tmp_path):
+    def jobs(n):
+        folder = tmp_path / f"n{n}"
+        for i in range(n):
+            rows = [[str(i), f"x{j}" * 20] for j in range(300)]
+            _write(folder / f"{i}.csv", ['a', 'say "b", c'] if i % 2 else ['say "b", c', 'a'], rows)
+        group = f"headers-{n}"
+        spark.sparkContext.setJobGroup(group, "headers")
+        found = folder_headers(spark, str(folder / "*.csv"))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert {h: len(f) for h, f in found.items()} == {("a", 'say "b", c'): n // 2, ('say "b", c', "a"): n - n // 2}
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    assert jobs(40) == jobs(90)  # Spark lists more than 32 paths in a job of its own
+    (tmp_path / "n40" / "99.csv").write_text("")
+    with pytest.raises(ValueError, match="no header"):
+        folder_headers(spark, str(tmp_path / "n40" / "*.csv"))
+
+
 HEART_HEADER = ["HeartDisease", "BMI", "Smoking", "AlcoholDrinking", "Stroke", "PhysicalHealth",
                 "MentalHealth", "DiffWalking", "Sex", "AgeCategory", "Race", "Diabetic",
                 "PhysicalActivity", "GenHealth", "SleepTime", "Asthma", "KidneyDisease", "SkinCancer"]
@@ -204,6 +224,31 @@ def test_promote(spark, tmp_path):
     assert read_record(spark, store, "t").accuracy_text == "0.1"
 
 
+def test_of_two_writers_at_once_the_better_stands(spark, tmp_path, monkeypatch):
+    """Both read the store before either writes; the second to write must decide again."""
+    from cohortline.sources import models
+    model = _Model(spark).fitted
+    for n, scores in enumerate([(0.7, 0.9), (0.9, 0.7), (0.8, 0.8)]):
+        store = str(tmp_path / f"store{n}")
+        assert promote(spark, store, "t", "KNN", 0.5, model) == "save_new"
+        both, seen = threading.Barrier(2, timeout=60), threading.local()
+
+        def together(session, path, text, real=models._create):
+            if not getattr(seen, "met", False):
+                seen.met = True
+                both.wait()
+            return real(session, path, text)
+        monkeypatch.setattr(models, "_create", together)
+        with ThreadPoolExecutor(2) as pool:
+            jobs = [pool.submit(promote, spark, store, "t", f"m{s}", s, model) for s in scores]
+            actions = [j.result() for j in jobs]
+        monkeypatch.undo()
+        assert read_record(spark, store, "t").accuracy_text == repr(max(scores))
+        assert "replace" in actions and (scores[0] != scores[1] or "retain" in actions)
+        numbers = models._numbers(spark, f"{store}/t/records")
+        assert numbers == list(range(1, len(numbers) + 1))
+
+
 COUNTS = {"max_trial_counts": 3, "max_failed_trial_counts": 0, "parallel_trial_counts": 2}
 PARAMS = [
     {"method": "lr", "iterators_min": 10, "iterators_max": 50, "iterators_step": 10, **COUNTS},

@@ -32,16 +32,16 @@ def test_split_does_not_shuffle(spark):
     assert "Exchange" not in plan
 
 
-@pytest.mark.parametrize("digits", [1, 3])
-def test_shuffle_numbers_every_row_once(spark, digits):
+@pytest.mark.parametrize("rows", [20, 1_000_000])
+def test_shuffle_numbers_every_row_once(spark, rows):
     df = spark.range(1_000).withColumn("v", F.col("id") % 7)
-    out = seeded_shuffle(df, ["id"], prefix_digits=digits)
+    out = seeded_shuffle(df, ["id"], rows_per_range=rows)
     got = sorted((r.position, r.id) for r in out.collect())
     assert [p for p, _ in got] == list(range(1_000))
     assert sorted(i for _, i in got) == list(range(1_000))
     assert [i for _, i in got] != list(range(1_000))
     again = sorted((r.position, r.id) for r in seeded_shuffle(
-        df.repartition(3), ["id"], prefix_digits=digits).collect())
+        df.repartition(3), ["id"], rows_per_range=rows).collect())
     assert again == got
 
 
@@ -56,3 +56,12 @@ def test_shuffle_of_copies(spark, monkeypatch):
     ranks = sorted(p for p, x in got if x == 0)
     thirds = [sum(low <= p < low + 1_000 for p in ranks) for low in (0, 1_000, 2_000)]
     assert min(thirds) > 250
+
+
+def test_shuffle_deals_rows_out_once(spark):
+    """Besides counting copies one exchange, by ranges as many as the rows need."""
+    out = seeded_shuffle(spark.range(5_000), rows_per_range=100)
+    assert out.rdd.getNumPartitions() == 50
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    assert seeded_shuffle(spark.range(0)).collect() == []
