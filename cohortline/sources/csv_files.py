@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -69,11 +70,11 @@ def folder_headers(spark: SparkSession, pattern: str) -> dict[tuple[str, ...], l
     lines = spark.read.text(pattern).select("value", "_metadata.file_path", "_metadata.file_block_start")
     first = lines.filter("file_block_start = 0").groupBy("file_path").agg(F.first("value").alias("line"))
     found = {r.file_path: r.line for r in first.collect()}
-    without = [f for f in spark.read.format("binaryFile").load(pattern).filter("length = 0").select("path").toPandas()["path"]]
-    if without:
-        raise ValueError(f"no header in {sorted(without)[0]}")
-    if not found:
-        raise ValueError(f"no file matches {pattern}")
+    one = lambda uri: re.sub(r"^(\w+):/+", r"\1:/", uri)  # noqa: E731  file:/x and file:///x are one file
+    headed = {one(f) for f in found}
+    without = sorted(f for f in lines.inputFiles() if one(f) not in headed)
+    if without or not found:
+        raise ValueError(f"no header in {without[0]}" if without else f"no file matches {pattern}")
     cells = {line: tuple(c if c is not None else f"_c{i}" for i, c in enumerate(row)) for line, row in _parsed(spark, found)}
     out: dict[tuple[str, ...], list[str]] = {}
     for file in sorted(found):

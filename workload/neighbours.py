@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortline.operators.nearest import fit_nearest
+from cohortline.operators.nearest_quantised import fit_quantised
 from cohortline.operators.split import with_split
 from cohortline.sources.tables import read_table
 from workload.registry import query
@@ -95,3 +96,11 @@ def knn_orders(spark, folder):
     train, test = _orders(spark, folder)
     model = fit_nearest(train, ["a", "b", "c"], "key", "label", k=3)
     return model.predict(test).select("key", "label", "prediction")
+
+
+@query("knn_approx")
+def knn_approx(spark, folder):
+    """Neighbours by quantised codes: every train row is indexed, the best hundred are measured exactly."""
+    train, test = _embedded(spark, folder)
+    model = fit_quantised(train, "embedding", "key", "label", k=3)
+    return model.predict(test).select("key", "label", "prediction")
