@@ -40,7 +40,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality classifier", good_documents), ("near duplicates", without_copies), ("personal data", redacted),
           ("mixing", mixed), ("byte pairs", encoded)]
-#: No SQL: models, hashed sketches and seeded draws; tests hold each stage against a brute-force form.
+#: No SQL: models, hashed sketches and seeded draws; the operators behind the stages have tests of their own.
 ORACLE_SQL = None
 
 
