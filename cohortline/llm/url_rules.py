@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Most different label counts, and most different path lengths, that a set of rules may have.
 SHAPES = 4096
+#: Bytes of a digest by which expressions meet rules.
+PREFIX = 4
 
 #: (verdict, host, path)
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -34,7 +36,12 @@ def rule_frame(spark, rules=RULES) -> DataFrame:
 
 
 def _digest(expression: Column) -> Column:
-    return F.sha2(expression, 256)
+    return F.unhex(F.sha2(expression, 256))
+
+
+def _prefix(expression: Column) -> Column:
+    """The first ``PREFIX`` bytes of the digest."""
+    return F.substring(_digest(expression), 1, PREFIX)
 
 
 def judged(pages: DataFrame, rules: DataFrame, default: str = "allow", key: str = "page_id", url: str = "url") -> DataFrame:
@@ -51,7 +58,7 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = "allow", key: str
                           F.col("verdict").alias("rule_verdict"))
              .filter("rule_host <> '' and rule_path is not null and rule_verdict is not null").distinct()
              .withColumn("rule", F.concat("rule_host", "rule_path"))
-             .withColumn("digest", _digest(F.col("rule"))))
+             .withColumn("prefix", _prefix(F.col("rule"))).withColumn("digest", _digest(F.col("rule"))))
     labels, lengths = (_shapes(known, c) for c in (F.size(F.split("rule_host", r"\.", -1)), F.length("rule_path")))
     host, path = split_url(F.col(url))
     rows = (pages.select(F.col(key).cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
@@ -63,10 +70,11 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = "allow", key: str
                            lambda n: F.substring(F.col("path"), F.lit(1), n))
     expressions = F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p))))
     spread = (rows.withColumn("expression", F.explode_outer(F.when(F.col("host") != "", expressions)))
-              .withColumn("digest", _digest(F.col("expression"))))
-    short = lambda df: F.substring(df["digest"], 1, 8)
-    met = spread.join(known, (short(spread) == short(known)) & (spread["digest"] == known["digest"]), "left")
-    best = F.max(F.when(F.col("rule").isNotNull(), F.struct(
+              .withColumn("prefix", _prefix(F.col("expression"))))
+    # the prefix alone is the key; what it brings together is confirmed by full digests afterwards
+    met = spread.join(known, "prefix", "left")
+    confirmed = F.col("rule").isNotNull() & (_digest(F.col("expression")) == F.col("digest"))
+    best = F.max(F.when(confirmed, F.struct(
         F.length("rule").alias("length"), F.length("rule_host").alias("host_length"),
         (F.col("rule_verdict") == "block").alias("blocks"), F.col("rule"), F.col("rule_verdict"))))
     return (met.groupBy("page_id", "host", "path", "rows").agg(best.alias("best"))
