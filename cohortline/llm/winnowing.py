@@ -1,6 +1,8 @@
 """Document fingerprints by winnowing, in DataFrame functions alone.
 
-A text's units are its lower-cased runs of non-space characters, cut every 16.
+A text's units are its lower-cased runs of up to 16 non-space characters. In longer
+runs, and in those that hold letters of a script written without spaces, every code
+point is a unit, so that a shared passage has the same units wherever it begins.
 Rolling hashes of five units come from three shifted products modulo a prime,
 minima of eight neighbouring hashes from three shifted comparisons. Hash and
 position travel in one number whose order puts the smallest hash first and the
@@ -18,7 +20,10 @@ from cohortline.llm.inputs import texts_of
 GRAM, WINDOW = 5, 8
 PRIME = (1 << 31) - 1
 BASE = 1_000_003
-UNIT = r"\S{1,16}"
+#: Scripts that are written without spaces between words.
+UNSPACED = "".join(rf"\p{{Is{name}}}" for name in (
+    "Han", "Hiragana", "Katakana", "Bopomofo", "Yi", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan"))
+UNIT = rf"(?<!\S)[\S&&[^{UNSPACED}]]{{1,16}}(?!\S)|\S"
 _LOW = PRIME  # positions count down from here, in the low 31 bits
 
 
