@@ -1,7 +1,8 @@
 """MinHash near-duplicates: banding, signature check, full-set check, components.
 
 1. Each text gets its set of word-shingle hashes, a digest of that set and 128
-   universal-hash minima. Texts with equal sets are one class from then on.
+   universal-hash minima. Texts with equal sets are one class from then on, named
+   by the digest; document ids come back only for the result.
 2. Every 4 minima form one of 32 bands. Classes that share a band meet in a
    bucket. Of the first classes of its buckets, each class is compared with the
    one it shares most bands with, first by signature, then by the full sets.
@@ -11,7 +12,7 @@
 4. Components come from alternating large-star and small-star.
 
 At 0.85 two texts share no band with a chance of 6e-11, at 0.8 of 5e-8. Hashes
-have 64 bits; sizes and similarities are those of the hashed sets.
+and digests have 64 bits; sizes and similarities are those of the hashed sets.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ SLACK = 0.2
 BLOCK = 512
 CHUNK = 1 << 16
 
-_SKETCH = "doc_id long, class_a long, class_b long, n_shingles long, signature binary"
+_SKETCH = "doc_id long, node long, n_shingles long, signature binary"
 
 
 def _signatures(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -66,22 +67,24 @@ def _sets(column: pa.Array):
         yield first, grams, sizes, [np.unique(grams[e - s:e]) for e, s in zip(ends, sizes)]
 
 
+def _digests(sets: list[np.ndarray]) -> np.ndarray:
+    return np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=8).digest() for s in sets), np.int64)
+
+
 def _sketches(batches):
-    schema = pa.schema([("doc_id", pa.int64()), ("class_a", pa.int64()), ("class_b", pa.int64()),
-                        ("n_shingles", pa.int64()), ("signature", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n_shingles", pa.int64()),
+                        ("signature", pa.binary())])
     for rows in batches:
         ids = rows.column(0)
         for first, grams, sizes, sets in _sets(rows.column(1)):
             minima = _signatures(grams, sizes)
-            digests = np.frombuffer(b"".join(
-                hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), np.int64).reshape(-1, 2)
             yield batch(schema.names, [
-                ids.slice(first, len(sets)), digests[:, 0].copy(), digests[:, 1].copy(),
+                ids.slice(first, len(sets)), _digests(sets),
                 np.array([len(s) for s in sets], np.int64), [m.tobytes() for m in minima]], schema)
 
 
 def _banded(batches):
-    schema = pa.schema([("bucket", pa.int64()), ("rep", pa.int64())])
+    schema = pa.schema([("bucket", pa.int64()), ("node", pa.int64())])
     factors = words.constants(ROWS, 21)
     for rows in batches:
         if not rows.num_rows:
@@ -94,7 +97,7 @@ def _banded(batches):
 
 def _estimates(floor: float):
     def estimate(batches):
-        schema = pa.schema([("rep", pa.int64()), ("pivot", pa.int64()), ("best", pa.bool_())])
+        schema = pa.schema([("node", pa.int64()), ("pivot", pa.int64()), ("best", pa.bool_())])
         for rows in batches:
             if not rows.num_rows:
                 continue
@@ -110,8 +113,8 @@ def _estimates(floor: float):
 def _set_rows(batches):
     schema = pa.schema([("id", pa.int64()), ("shingles", pa.binary())])
     for rows in batches:
-        for first, _, _, sets in _sets(rows.column(1)):
-            yield batch(schema.names, [rows.column(0).slice(first, len(sets)), [s.tobytes() for s in sets]], schema)
+        for _, _, _, sets in _sets(rows.column(1)):
+            yield batch(schema.names, [_digests(sets), [s.tobytes() for s in sets]], schema)
 
 
 def _confirmed(percent: int):
@@ -166,7 +169,7 @@ def _similar(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarr
 
 def _forest(percent: int):
     def join(group: pa.Table) -> pa.Table:
-        ids, tied = group.column("rep").to_numpy(), group.column("component").to_numpy()
+        ids, tied = group.column("node").to_numpy(), group.column("component").to_numpy()
         _, tied = np.unique(tied, return_inverse=True)
         parent = np.arange(int(tied.max()) + 1)
 
@@ -189,42 +192,42 @@ def _forest(percent: int):
 
 
 def _with_component(members: DataFrame, found: DataFrame) -> DataFrame:
-    return (members.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-            .withColumn("component", F.coalesce("component", "rep")))
+    return (members.join(found, "node", "left")
+            .withColumn("component", F.coalesce("component", "node")))
 
 
 def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links inside buckets between classes that are not connected yet.
 
-    ``members`` has (bucket, rep, component). Buckets with the same classes are
+    ``members`` has (bucket, node, component). Buckets with the same classes are
     taken once; classes whose unshared shingles rule out any partner in the
     bucket leave it; a large bucket is cut into blocks that meet two by two.
     """
     open_buckets = (members.groupBy("bucket").agg(
-        F.count("*").alias("n"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("same"),
+        F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("same"),
         F.min("component").alias("low"), F.max("component").alias("high"))
         .filter("low <> high").dropDuplicates(["n", "same"]).select("bucket"))
     rest = cut_lineage(members.join(open_buckets, "bucket"))
-    ids = rest.select(F.col("rep").alias("id")).distinct()
+    ids = rest.select(F.col("node").alias("id")).distinct()
     held = cut_lineage(sets.join(ids, "id").withColumn("size", (F.octet_length("shingles") / 8).cast("long")))
     unshared = (held.select("id", F.explode(_hash_list()).alias("shingle"))
                 .groupBy("shingle").agg(F.count("*").alias("seen"), F.min("id").alias("id")).filter("seen = 1")
                 .groupBy("id").agg(F.count("*").alias("own")))
     sizes = (held.select("id", "size").join(unshared, "id", "left")
-             .select(F.col("id").alias("rep"), "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("kept")))
-    sized = rest.join(sizes, "rep")
+             .select(F.col("id").alias("node"), "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("kept")))
+    sized = rest.join(sizes, "node")
     least = sized.groupBy("bucket").agg(F.min("size").alias("least"))
     able = cut_lineage(sized.join(least, "bucket").filter(
-        f"100 * kept >= {percent} * (size + greatest(kept, least) - kept)").select("bucket", "rep", "component"))
+        f"100 * kept >= {percent} * (size + greatest(kept, least) - kept)").select("bucket", "node", "component"))
     many = able.groupBy("bucket").agg(
         F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"),
         F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     units = (able.join(many.select("bucket", "blocks"), "bucket").withColumn("block", block)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                     "rep", "component"))
-    return (units.join(held.select(F.col("id").alias("rep"), "shingles"), "rep")
+                     "node", "component"))
+    return (units.join(held.select(F.col("id").alias("node"), "shingles"), "node")
             .groupBy("bucket", "i", "j").applyInArrow(_forest(percent), "a long, b long"))
 
 
@@ -247,44 +250,52 @@ def near_duplicates(docs: DataFrame, percent: int = 80, key: str = "doc_id", tex
     """
     docs = texts_of(docs, key, text)
     sketch = cut_lineage(docs.mapInArrow(_sketches, _SKETCH))
-    keys = ["class_a", "class_b"]
-    named = sketch.filter("n_shingles > 0 and doc_id is not null")
-    reps = cut_lineage(named.groupBy(keys).agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")))
-    placed = cut_lineage(sketch.drop("signature").join(reps.select(*keys, "rep"), keys, "left").withColumn(
-        "rep", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("rep"))).drop(*keys))
-    by_id = reps.groupBy("rep").agg(F.first("signature").alias("signature"))
-
-    banded = reps.select("rep", "signature").mapInArrow(_banded, "bucket long, rep long")
-    full = banded.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).filter("n > 1")
+    placed = sketch.select("doc_id", "n_shingles", F.when(
+        F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("node")).alias("node"))
+    classes = cut_lineage(sketch.filter("n_shingles > 0 and doc_id is not null").groupBy("node").agg(
+        F.min("doc_id").alias("least"), F.first("signature").alias("signature")))
+    by_node = classes.select("node", "signature")
+
+    banded = by_node.mapInArrow(_banded, "bucket long, node long")
+    full = banded.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).filter("n > 1")
     members = cut_lineage(banded.join(full, "bucket"))
     # with its most frequent first class a class shares most bands; a bucket of two has one pair
-    pairs = cut_lineage(members.filter("rep <> pivot").groupBy("rep", "pivot").agg(
+    pairs = cut_lineage(members.filter("node <> pivot").groupBy("node", "pivot").agg(
         F.count("*").alias("bands"), F.max(F.col("n") == 2).alias("alone")))
-    most = pairs.groupBy("rep").agg(F.max(F.struct("bands", F.negate("pivot").alias("p"))).alias("m")) \
-        .select("rep", F.negate("m.p").alias("pivot"), F.lit(True).alias("best"))
-    signed = (pairs.join(most, ["rep", "pivot"], "left").filter("best or alone")
-              .join(by_id, "rep").withColumnRenamed("signature", "left_signature")
-              .join(by_id.select(F.col("rep").alias("pivot"), "signature"), "pivot")
-              .select("rep", "pivot", "left_signature", "signature", F.coalesce("best", F.lit(False)).alias("best")))
-    near = cut_lineage(signed.mapInArrow(_estimates(percent / 100 - SLACK), "rep long, pivot long, best boolean"))
-
-    wanted = members.select(F.col("rep").alias("id")).distinct()
-    sets = cut_lineage(docs.join(wanted, docs.doc_id == wanted.id, "left_semi")
-                       .mapInArrow(_set_rows, "id long, shingles binary").dropDuplicates(["id", "shingles"]))
-    return _components_of(placed, members, near, sets, percent)
+    most = pairs.groupBy("node").agg(F.max(F.struct("bands", "pivot")).alias("m")) \
+        .select("node", "m.pivot", F.lit(True).alias("best"))
+    signed = (pairs.join(most, ["node", "pivot"], "left").filter("best or alone")
+              .join(by_node, "node").withColumnRenamed("signature", "left_signature")
+              .join(by_node.select(F.col("node").alias("pivot"), "signature"), "pivot")
+              .select("node", "pivot", "left_signature", "signature", F.coalesce("best", F.lit(False)).alias("best")))
+    near = cut_lineage(signed.mapInArrow(_estimates(percent / 100 - SLACK), "node long, pivot long, best boolean"))
+
+    least = classes.select("node", "least")
+    wanted = least.join(members.select("node").distinct(), "node", "left_semi").select("least")
+    sets = cut_lineage(docs.join(wanted, docs.doc_id == wanted["least"], "left_semi")
+                       .mapInArrow(_set_rows, "id long, shingles binary").dropDuplicates(["id"]))
+    found = _components_of(placed, members, near, sets, percent)
+    lowest = cut_lineage(found.join(least, "node").groupBy("component").agg(F.min("least").alias("low")))
+    # written out, so that hot classes and components are split when they are joined
+    named = cut_lineage(least.join(found.join(lowest, "component").select("node", "low"), "node", "left")
+                        .select("node", F.coalesce("low", "least").alias("component_id")))
+    return (placed.join(named, "node", "left")
+            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
 def _components_of(placed, members, near, sets, percent) -> DataFrame:
+    """(node, component) of the classes that links or a common doc_id connect."""
     def confirmed(pairs):
-        both = (pairs.join(sets.select(F.col("id").alias("rep"), F.col("shingles").alias("x")), "rep")
+        both = (pairs.join(sets.select(F.col("id").alias("node"), F.col("shingles").alias("x")), "node")
                 .join(sets.select(F.col("id").alias("pivot"), F.col("shingles").alias("y")), "pivot")
-                .select("rep", "pivot", "x", "y"))
+                .select("node", "pivot", "x", "y"))
         return both.mapInArrow(_confirmed(percent), "a long, b long")
 
-    several = (placed.filter("rep is not null").groupBy("doc_id")
-               .agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low <> high").select("doc_id"))
-    repeated = placed.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    found = components(confirmed(near.filter("best").select("rep", "pivot")).unionByName(repeated))
+    several = (placed.filter("node is not null").groupBy("doc_id")
+               .agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select("doc_id", "low"))
+    repeated = placed.join(several, "doc_id").select(F.col("low").alias("a"), F.col("node").alias("b"))
+    found = components(confirmed(near.filter("best").select("node", "pivot")).unionByName(repeated))
 
     def roots(links):
         """The links between components that ``found`` keeps apart."""
@@ -292,9 +303,9 @@ def _components_of(placed, members, near, sets, percent) -> DataFrame:
             links = (links.join(found.withColumnRenamed("node", end), end, "left")
                      .withColumn(end, F.coalesce("component", end)).drop("component"))
         return links.filter("a <> b")
-    pairs = near.filter(~F.col("best")).select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
-    across = roots(pairs.select("a", "b", F.col("a").alias("rep"), F.col("b").alias("pivot"))).select("rep", "pivot")
-    inside = _rest(_with_component(members.filter("n > 2").select("bucket", "rep"), found), sets, percent)
+    pairs = near.filter(~F.col("best")).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    across = roots(pairs.select("a", "b", F.col("a").alias("node"), F.col("b").alias("pivot"))).select("node", "pivot")
+    inside = _rest(_with_component(members.filter("n > 2").select("bucket", "node"), found), sets, percent)
     more = cut_lineage(roots(confirmed(across).unionByName(inside)).select("a", "b").distinct())
     if not more.isEmpty():
         joined = components(more).select(F.col("node").alias("component"), F.col("component").alias("root"))
@@ -302,16 +313,15 @@ def _components_of(placed, members, near, sets, percent) -> DataFrame:
                             .join(joined, "component", "left")
                             .select("node", F.coalesce("root", "component").alias("component"))
                             .groupBy("node").agg(F.min("component").alias("component")))
-    return (placed.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
-            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    return found
 
 
 def without_copies(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, one per document: all columns, other rows unchanged.
 
-    Of rows that repeat a doc_id and have words one stays; rows without words or
-    without doc_id all stay.
+    Of rows that repeat a doc_id and have words the one stays whose text, then
+    whose whole row as JSON, comes first; rows without words or without doc_id
+    all stay.
     """
     found = cut_lineage(near_duplicates(docs, percent, key, text))
     gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
@@ -321,5 +331,8 @@ def without_copies(docs: DataFrame, percent: int = 80, key: str = "doc_id", text
     again = cut_lineage(again)
     if again.isEmpty():
         return left
-    on = left[key].cast("long") == again["_again"]
-    return left.join(again, on, "left_anti").unionByName(left.join(again, on, "left_semi").dropDuplicates([key]))
+    on = (left[key].cast("long") == again["_again"]) & left[text].rlike(r"[^\x20\x09-\x0D]")
+    row = F.struct(*docs.columns)
+    first = (left.join(again, on, "left_semi").groupBy(F.col(key).cast("long"))
+             .agg(F.min_by(row, F.struct(F.col(text), F.to_json(row))).alias("_row")))
+    return left.join(again, on, "left_anti").unionByName(first.select("_row.*"))

@@ -103,6 +103,43 @@ def test_near_duplicates_on_odd_rows(spark):
     assert {r.component_id for r in near_duplicates.near_duplicates(twice).collect()} == {1}
 
 
+def test_near_duplicates_with_repeated_ids(spark):
+    """Ids with several texts connect all of them; classes that share their smallest id stay apart as nodes."""
+    for seed in range(4):
+        rng = random.Random(seed)
+        rows = []
+        for _ in range(12):
+            base = [f"w{rng.randrange(300)}" for _ in range(rng.randint(20, 60))]
+            for _ in range(rng.randint(1, 4)):
+                copy = list(base)
+                for _ in range(rng.randint(0, 2)):
+                    copy[rng.randrange(len(copy))] = f"x{rng.randrange(300)}"
+                rows.append((rng.randrange(1, 25), " ".join(copy)))
+        single = linked(list(enumerate(t for _, t in rows)), 80)
+        root = {i: i for i, _ in rows}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+        for n, (i, _) in enumerate(rows):  # each row is tied to the first row of its group of like texts
+            x, y = find(i), find(rows[single[n][1]][0])
+            root[max(x, y)] = min(x, y)
+        found = near_duplicates.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3), 80).collect()
+        assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == sorted(
+            (i, single[n][0], find(i)) for n, (i, _) in enumerate(rows))
+
+
+def test_without_copies_keeps_defined_rows(spark):
+    rows = [(1, "b c d e f g", "s"), (1, "a c d e f g", "t"), (1, "a c d e f g", "r"), (1, "", "u"), (2, "q r s t u v w", "s"),
+            (3, "q r s t u v w", "s"), (None, "q r s t u v w", "n"), (4, None, "z")]
+    for parts in (1, 5):
+        frame = spark.createDataFrame(rows, SCHEMA + ", source string").repartition(parts)
+        left = sorted(map(tuple, near_duplicates.without_copies(frame).collect()), key=str)
+        assert left == sorted([(1, "a c d e f g", "r"), (1, "", "u"), (2, "q r s t u v w", "s"),
+                               (None, "q r s t u v w", "n"), (4, None, "z")], key=str)
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a long, b long")
     found = dict(components.components(edges).distinct().collect())
@@ -169,6 +206,22 @@ def test_fingerprints_by_hand_and_match_guarantee(spark):
     assert second & third
 
 
+def test_fingerprints_of_unspaced_text(spark):
+    """A passage of twelve code points is seen at any offset in text without spaces."""
+    rng = random.Random(2)
+    chinese = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(300))
+    code = "".join(rng.choice("abcdef(){}=+;.") for _ in range(300))
+    rows = [(1, chinese), (2, "前" + chinese), (3, code), (4, "x" + code), (5, "note " + chinese[100:112] + " end"),
+            (6, "q" * 20 + code[57:90] + "r" * 20)]
+    found = {r.doc_id: {m.split(":")[1] for m in r.fingerprint.split(",")}
+             for r in winnowing.fingerprints(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert len(found[1] & found[2]) >= len(found[1]) - 2 and len(found[3] & found[4]) >= len(found[3]) - 2
+    assert found[5] & found[1] and found[6] & found[3]
+    units = spark.createDataFrame([("ab c" + "d" * 17 + " 漢x 😀y",)], "t string").select(
+        F.regexp_extract_all("t", F.lit(winnowing.UNIT), F.lit(0))).first()[0]
+    assert units == ["ab", "c", *"d" * 17, "漢", "x", "😀y"]
+
+
 def test_fingerprints_of_odd_rows(spark):
     found = winnowing.fingerprints(odd(spark))
     assert found.count() == len(ODD)
