@@ -395,3 +395,66 @@ def test_licenses_beside_each_other():
         names = ["MIT" if "Permission" in x else "Apache-2.0-line" for x in text.replace(f"{line} {line}", f"{line}\n{line}").split("\n")]
         assert [n for n, _ in found(text)] == names, text
         assert all(t.rstrip(".") in (bare, edited.rstrip("."), bare_line) for _, t in found(text))
+
+
+LICENSE_PROBES = [
+    ("Licensed under the MIT License.", ["MIT-line"]), ("Released under the terms of the MIT License", ["MIT-line"]),
+    ("Licensed under the Apache License, Version 1.1.", ["Apache-1.1-line"]),
+    ("Licensed under the Apache License, Version 2.0.", ["Apache-2.0-line"]),
+    ("Licensed under CC BY 4.0.", ["CC-BY-4.0-line"]), ("Licensed under CC BY-SA 4.0.", ["CC-BY-SA-4.0-line"]),
+    ("Licensed under CC BY-SA 3.0.", ["CC-BY-SA-3.0-line"]), ("Licensed under CC BY-SA 2.0.", []),
+    ("covered by the GNU Lesser General Public License, version 3", ["LGPL-3.0-line"]),
+    ("under the GNU Lesser General Public License, version 3.", ["LGPL-3.0-line"]),
+    ("under the GNU General Public License, version 2", ["GPL-2.0-line"]), ("sold under the GPLv2 since", ["GPL-2.0-line"]),
+    ("under the Foo License, Version 2.0.", []), ("a license plate, and free software", []),
+    ("// SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0\nint main", ["GPL-2.0-only WITH Classpath-exception-2.0"]),
+    ("# SPDX-License-Identifier: (MIT OR Apache-2.0)\nimport os", ["MIT OR Apache-2.0"]), ("SPDX-License-Identifier:", []),
+]
+
+
+def test_license_probes():
+    """Names and versions decide; a template is found as itself, also with changed words of other kinds."""
+    known = licenses.Templates(licenses.TEMPLATES)
+
+    def names(text):
+        return [found[0] for found in licenses.findings_in(f"some words {text} and others", known)]
+    for text, wanted in LICENSE_PROBES:
+        assert names(text) == wanted, text
+    for name, text in licenses.TEMPLATES.items():
+        if name != "SPDX":
+            assert names(text) == [name.split("#")[0]], name
+    agpl = licenses.TEMPLATES["AGPL-3.0"]
+    assert names(agpl.replace("This program", "This tool")) == ["AGPL-3.0"]
+    assert names(agpl.replace("Affero ", "")) == ["GPL-3.0"] and names(agpl.replace("version 3", "version 4")) == []
+
+
+def test_license_findings_equal_plain_comparison():
+    """What is found is what a plain word-by-word comparison of every window with every template finds."""
+    rng = random.Random(6)
+    chosen = {n: licenses.TEMPLATES[n] for n in ("MIT", "ISC", "GPL-3.0", "AGPL-3.0", "LGPL-3.0", "MPL-2.0", "CC0-1.0")}
+    known = licenses.Templates(chosen)
+
+    def least_differences(text):
+        there, out = [w[0] for w in licenses._words(text)], {}
+        for name, template in chosen.items():
+            wanted = [w[0] for w in licenses._words(template)]
+            row = [0] * (len(there) + 1)  # a match may begin anywhere; inserted and left-out words count
+            for i, w in enumerate(wanted, 1):
+                last, row = row, [i]
+                for j, x in enumerate(there, 1):
+                    row.append(last[j - 1] if w == x else 1 + min(last[j], row[j - 1]))
+            out[name] = min(row) / len(wanted)
+        return out
+    plain = "lorem ipsum dolor sit amet".split()
+    for _ in range(60):
+        name = rng.choice(sorted(chosen))
+        tokens = chosen[name].split()
+        for _ in range(rng.randint(0, 2)):  # words that decide nothing
+            at = rng.choice([i for i, w in enumerate(tokens) if len(licenses._bare(w)) > 3
+                             and not licenses._decides([licenses._bare(w)], 0)])
+            tokens[at] = rng.choice(plain)
+        text = " ".join([*(rng.choice(plain) for _ in range(30)), *tokens, *(rng.choice(plain) for _ in range(30))])
+        differences = least_differences(text)
+        assert min(differences, key=differences.get) == name
+        assert [found[0] for found in licenses.findings_in(text, known)] == [name]
+    assert licenses.findings_in("lorem licence ipsum " * 50, known) == []
