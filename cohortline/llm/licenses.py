@@ -219,7 +219,7 @@ class Templates:
                 if confirmed and begin <= hint < end:
                     rank = (missing + added - matched, name)
                     if name in self.open:
-                        if end == len(words):
+                        if end == len(words) or "\n" in block[words[end - 1][2]:words[end][1]]:
                             break
                         end = _expression(block, words, end)
                         name = block[words[begin + len(wanted)][1]:words[end - 1][2]].strip("\"'();,*/ ")

@@ -408,7 +408,7 @@ LICENSE_PROBES = [
     ("under the GNU General Public License, version 2", ["GPL-2.0-line"]), ("sold under the GPLv2 since", ["GPL-2.0-line"]),
     ("under the Foo License, Version 2.0.", []), ("a license plate, and free software", []),
     ("// SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0\nint main", ["GPL-2.0-only WITH Classpath-exception-2.0"]),
-    ("# SPDX-License-Identifier: (MIT OR Apache-2.0)\nimport os", ["MIT OR Apache-2.0"]), ("SPDX-License-Identifier:", []),
+    ("# SPDX-License-Identifier: (MIT OR Apache-2.0)\nimport os", ["MIT OR Apache-2.0"]), ("SPDX-License-Identifier:\nint main", []),
 ]
 
 
