@@ -1,8 +1,9 @@
 """MinHash near-duplicates: banding, signature check, full-set check, components.
 
 1. Each text gets its set of word-shingle hashes, a digest of that set and 128
-   universal-hash minima. Texts with equal sets are one class from then on, named
-   by the digest; document ids come back only for the result.
+   universal-hash minima. Texts with equal sets are one class from then on. Its
+   number is its smallest doc_id; where classes share that one, since a doc_id has
+   several texts, all but one are numbered by their digests.
 2. Every 4 minima form one of 32 bands. Classes that share a band meet in a
    bucket. Of the first classes of its buckets, each class is compared with the
    one it shares most bands with, first by signature, then by the full sets.
@@ -38,7 +39,6 @@ SLACK = 0.2
 BLOCK = 512
 CHUNK = 1 << 16
 
-_SKETCH = "doc_id long, node long, n_shingles long, signature binary"
 
 
 def _signatures(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -71,16 +71,21 @@ def _digests(sets: list[np.ndarray]) -> np.ndarray:
     return np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=8).digest() for s in sets), np.int64)
 
 
+def _placed(batches):
+    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("n_shingles", pa.int64())])
+    for rows in batches:
+        for first, _, _, sets in _sets(rows.column(1)):
+            yield batch(schema.names, [rows.column(0).slice(first, len(sets)), _digests(sets),
+                                       np.array([len(s) for s in sets], np.int64)], schema)
+
+
 def _sketches(batches):
-    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n_shingles", pa.int64()),
-                        ("signature", pa.binary())])
+    schema = pa.schema([("digest", pa.int64()), ("signature", pa.binary())])
     for rows in batches:
-        ids = rows.column(0)
-        for first, grams, sizes, sets in _sets(rows.column(1)):
+        for _, grams, sizes, sets in _sets(rows.column(1)):
             minima = _signatures(grams, sizes)
-            yield batch(schema.names, [
-                ids.slice(first, len(sets)), _digests(sets),
-                np.array([len(s) for s in sets], np.int64), [m.tobytes() for m in minima]], schema)
+            some = np.flatnonzero(sizes)
+            yield batch(schema.names, [_digests(sets)[some], [minima[i].tobytes() for i in some]], schema)
 
 
 def _banded(batches):
@@ -111,10 +116,11 @@ def _estimates(floor: float):
 
 
 def _set_rows(batches):
-    schema = pa.schema([("id", pa.int64()), ("shingles", pa.binary())])
+    schema = pa.schema([("id", pa.int64()), ("digest", pa.int64()), ("shingles", pa.binary())])
     for rows in batches:
-        for _, _, _, sets in _sets(rows.column(1)):
-            yield batch(schema.names, [_digests(sets), [s.tobytes() for s in sets]], schema)
+        for first, _, _, sets in _sets(rows.column(1)):
+            yield batch(schema.names, [rows.column(0).slice(first, len(sets)), _digests(sets),
+                                       [s.tobytes() for s in sets]], schema)
 
 
 def _confirmed(percent: int):
@@ -249,12 +255,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80, key: str = "doc_id", tex
     component_id, joins nothing and is kept. Other columns are not read.
     """
     docs = texts_of(docs, key, text)
-    sketch = cut_lineage(docs.mapInArrow(_sketches, _SKETCH))
-    placed = sketch.select("doc_id", "n_shingles", F.when(
-        F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("node")).alias("node"))
-    classes = cut_lineage(sketch.filter("n_shingles > 0 and doc_id is not null").groupBy("node").agg(
-        F.min("doc_id").alias("least"), F.first("signature").alias("signature")))
-    by_node = classes.select("node", "signature")
+    placed = cut_lineage(docs.mapInArrow(_placed, "doc_id long, digest long, n_shingles long").withColumn(
+        "digest", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("digest"))))
+    several = cut_lineage(placed.filter("digest is not null").groupBy("doc_id").agg(
+        F.min("digest").alias("low"), F.max("digest").alias("high")).filter("low <> high").select("doc_id"))
+    simple = several.isEmpty()  # then every class has a smallest doc_id of its own
+    names = _numbered(placed, simple)
+    by_node = cut_lineage(docs.filter("doc_id is not null").mapInArrow(_sketches, "digest long, signature binary")
+                          .groupBy("digest").agg(F.first("signature").alias("signature"))
+                          .join(names.select("digest", "node"), "digest").select("node", "signature")).repartition("node")
 
     banded = by_node.mapInArrow(_banded, "bucket long, node long")
     full = banded.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).filter("n > 1")
@@ -262,29 +271,55 @@ def near_duplicates(docs: DataFrame, percent: int = 80, key: str = "doc_id", tex
     # with its most frequent first class a class shares most bands; a bucket of two has one pair
     pairs = cut_lineage(members.filter("node <> pivot").groupBy("node", "pivot").agg(
         F.count("*").alias("bands"), F.max(F.col("n") == 2).alias("alone")))
-    most = pairs.groupBy("node").agg(F.max(F.struct("bands", "pivot")).alias("m")) \
-        .select("node", "m.pivot", F.lit(True).alias("best"))
+    most = pairs.groupBy("node").agg(F.max(F.struct("bands", F.bitwise_not("pivot").alias("p"))).alias("m")) \
+        .select("node", F.bitwise_not("m.p").alias("pivot"), F.lit(True).alias("best"))
     signed = (pairs.join(most, ["node", "pivot"], "left").filter("best or alone")
               .join(by_node, "node").withColumnRenamed("signature", "left_signature")
               .join(by_node.select(F.col("node").alias("pivot"), "signature"), "pivot")
               .select("node", "pivot", "left_signature", "signature", F.coalesce("best", F.lit(False)).alias("best")))
     near = cut_lineage(signed.mapInArrow(_estimates(percent / 100 - SLACK), "node long, pivot long, best boolean"))
 
-    least = classes.select("node", "least")
-    wanted = least.join(members.select("node").distinct(), "node", "left_semi").select("least")
-    sets = cut_lineage(docs.join(wanted, docs.doc_id == wanted["least"], "left_semi")
-                       .mapInArrow(_set_rows, "id long, shingles binary").dropDuplicates(["id"]))
-    found = _components_of(placed, members, near, sets, percent)
-    lowest = cut_lineage(found.join(least, "node").groupBy("component").agg(F.min("least").alias("low")))
+    wanted = names.join(members.select("node").distinct(), "node", "left_semi").select("least")
+    sets = docs.join(wanted, docs.doc_id == wanted["least"], "left_semi").mapInArrow(
+        _set_rows, "id long, digest long, shingles binary")
+    if simple:
+        sets = cut_lineage(sets.select("id", "shingles").dropDuplicates(["id"]))
+        found = _components_of(None, members, near, sets, percent)
+        lowest = found.select("node", F.col("component").alias("low"))
+    else:
+        sets = cut_lineage(sets.drop("id").dropDuplicates(["digest"]).join(
+            names.select("digest", F.col("node").alias("id")), "digest").select("id", "shingles"))
+        found = _components_of(_tied(placed, several, names), members, near, sets, percent)
+        low = cut_lineage(found.join(names, "node").groupBy("component").agg(F.min("least").alias("low")))
+        lowest = found.join(low, "component").select("node", "low")
     # written out, so that hot classes and components are split when they are joined
-    named = cut_lineage(least.join(found.join(lowest, "component").select("node", "low"), "node", "left")
-                        .select("node", F.coalesce("low", "least").alias("component_id")))
-    return (placed.join(named, "node", "left")
+    ids = cut_lineage(names.join(lowest, "node", "left")
+                      .select("digest", F.coalesce("low", "least").alias("component_id")))
+    return (placed.join(ids, "digest", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
-def _components_of(placed, members, near, sets, percent) -> DataFrame:
+def _numbered(placed: DataFrame, simple: bool) -> DataFrame:
+    """(digest, least, node) of every class: its smallest doc_id, and its number, which no other class has."""
+    classes = placed.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("least"))
+    if simple:
+        return cut_lineage(classes.withColumn("node", F.col("least")))
+    shared = (classes.groupBy("least").agg(F.min("digest").alias("first"), F.count("*").alias("n"))
+              .filter("n > 1").select("least", "first"))
+    return cut_lineage(classes.join(shared, "least", "left").select(
+        "digest", "least", F.when(F.col("first") != F.col("digest"), F.col("digest")).otherwise(F.col("least")).alias("node")))
+
+
+def _tied(placed: DataFrame, several: DataFrame, names: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of every doc_id that has several."""
+    tied = cut_lineage(placed.join(several, "doc_id", "left_semi").join(names.select("digest", "node"), "digest")
+                       .select("doc_id", "node").distinct())
+    least = tied.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return tied.join(least, "doc_id").select("a", F.col("node").alias("b"))
+
+
+def _components_of(tied, members, near, sets, percent) -> DataFrame:
     """(node, component) of the classes that links or a common doc_id connect."""
     def confirmed(pairs):
         both = (pairs.join(sets.select(F.col("id").alias("node"), F.col("shingles").alias("x")), "node")
@@ -292,10 +327,8 @@ def _components_of(placed, members, near, sets, percent) -> DataFrame:
                 .select("node", "pivot", "x", "y"))
         return both.mapInArrow(_confirmed(percent), "a long, b long")
 
-    several = (placed.filter("node is not null").groupBy("doc_id")
-               .agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select("doc_id", "low"))
-    repeated = placed.join(several, "doc_id").select(F.col("low").alias("a"), F.col("node").alias("b"))
-    found = components(confirmed(near.filter("best").select("node", "pivot")).unionByName(repeated))
+    first = confirmed(near.filter("best").select("node", "pivot"))
+    found = components(first if tied is None else first.unionByName(tied))
 
     def roots(links):
         """The links between components that ``found`` keeps apart."""
