@@ -25,15 +25,17 @@ from cohortline.settings import cut_lineage
 
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 _CANDIDATE = re.compile(CANDIDATE)
-#: Values after a cue: the one group of a match that took part is the candidate.
-_NAME = r"(?:key|token|passw(?:or)?d|passwd|passphrase|pwd|secret|credentials?)[\w.\]-]{0,24}"
-CUED = [re.compile(rf"(?i){_NAME}[\"']?\]?\s{{0,3}}(?:=>|:=|==?|:)\s{{0,3}}(?:\"([^\"\s]{{6,}})\"|'([^'\s]{{6,}})'|([^\s\"']\S{{5,}}))"),
-        re.compile(r"(?i)(?:\bbearer|authorization[\"']?\s{0,3}[:=]\s{0,3}[\"']?(?:basic|token))\s{1,3}([^\s\"']{6,})"),
-        re.compile(r"(?<![\w.+%-])[\w.+%-]{1,64}:(?!//)([^\s]{6,256}?)@(?=[A-Za-z0-9])")]
+#: A name, what assigns to it, and the words in names of what is kept secret, in the languages of the documents.
+ASSIGNMENT = re.compile(r"(?<![\w.\]-])[\w.\]-]++[\"']?\]?\s{0,3}(?:=>|:=|==?|:)\s{0,3}")
+NAME = re.compile(r"(?i)key|token|passw|passphrase|pass(?:e|code)?(?![a-z])|pwd|secret|credential|mdp|contrase[nñ]a|clave"
+                  r"|kennwort|schl[uü](?:e|)ssel|geheim|jeton")
+VALUE = re.compile(r"\"([^\"\s]{6,})\"|'([^'\s]{6,})'|([^\s\"']\S{5,})")
+BEARER = re.compile(r"(?i)(?:\bbearer|authorization[\"']?\s{0,3}[:=]\s{0,3}[\"']?(?:basic|token))\s{1,3}([^\s\"']{6,})")
+ADDRESS, USER, HOST = re.compile(r"\S+"), re.compile(r"(?<![\w.+%-])[\w.+%-]++:(?!//)"), re.compile("@(?=[A-Za-z0-9])")
 #: What a text must contain for a cue to be looked for.
-CUE_MARK = "(?i)key|token|passw|passphrase|pwd|secret|credential|bearer|authorization|@"
-#: Most documents whose contexts carry labelled findings.
-CONTEXTS = 1200
+CUE_MARK = "(?i)key|token|pass|pwd|secret|credential|bearer|authorization|@|mdp|contrase|clave|kennwort|schl|geheim|jeton"
+#: Most documents whose contexts carry labelled findings, and code points of a context.
+CONTEXTS, CONTEXT = 1200, 300
 TREES, DEPTH, SEED = 40, 8, 11
 LEAST = 0.5
 BEFORE, AFTER = 40, 12
@@ -42,13 +44,14 @@ CODE = np.full(256, len(ALPHABET), np.uint16)
 CODE[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(len(ALPHABET))
 SYMBOLS = len(ALPHABET) + 1
 
-SPEAKS_FOR = re.compile(r"(?i)(secret|token|passw|credential|bearer|auth|api.?key|private.?key|access.?key|key)")
+SPEAKS_FOR = re.compile(rf"(?i)bearer|auth|{NAME.pattern[4:]}")
 SPEAKS_AGAINST = re.compile(r"(?i)(commit|sha\d*|md5|checksum|digest|hash|uuid|guid|etag|integrity|example|sample|func|def |class|path|url|http|www)")
+EMBEDDED = re.compile(r"(?i)base64,\s?$|data:[\w/+.-]*$")
 ASSIGNED = re.compile(r"[:=]\s*[\"']?$")
 SIDE_PATH = re.compile(r"(?i)(?<![a-z])(tests?|testdata|examples?|samples?|mocks?|docs?|fixtures?|vendor)(?![a-z])")
 NAMES = ["length", "digits", "capitals", "marks", "kinds", "different", "transitions", "coverage", "longest_letters",
          "hexadecimal", "prefix", "speaks_for", "speaks_against", "assigned", "quoted", "side_path", "after_mark",
-         "refers", "in_address", "classes"]
+         "refers", "in_address", "classes", "embedded"]
 #: Calls, variables and places to fill, which name a secret and hold none.
 REFERS = re.compile(r"[A-Za-z_]\w*[(\[]|^[<{]|^\$[{(A-Z_]|^%\w+%$|^[A-Za-z_]+(?:\.[A-Za-z_]+)+$|[*]{4}")
 PREFIX = re.compile(r"^(AKIA|ASIA|ghp_|gho_|xox[abp]-|sk_live_|sk-|AIza|eyJ|glpat-)")
@@ -115,7 +118,7 @@ def features(candidate: str, before: str, after: str, path: str, table: np.ndarr
         bool(ASSIGNED.search(before)), before[-1:] in "\"'" and before[-1:] == after[:1] and before != "",
         bool(SIDE_PATH.search(path)), after[:1] in "\"';,)",
         bool(REFERS.search(candidate)), before[-1:] == ":" and after[:1] == "@",
-        (digits > 0) + (capitals > 0) + (letters > capitals) + (marks > 0))]
+        (digits > 0) + (capitals > 0) + (letters > capitals) + (marks > 0), bool(EMBEDDED.search(before)))]
 
 
 _LETTERS = {"x": "0123456789abcdef", "b": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
@@ -137,6 +140,12 @@ FORMATS = [
     (1, "postgres://admin:", "", "p", 10, "@db.internal/main"), (1, "https://user:", "", "m", 12, "@host.net/"),
     (0, "sort key: ", "", "n", 6, " "), (0, "token count: ", "", "n", 8, "\n"), (0, "key=", "", "n", 7, " "),
     (0, "keywords: ", "sha-", "x", 7, "\n"),
+    (1, "mot de passe : ", "", "p", 10, "\n"), (1, "contraseña=", "", "p", 9, " "), (1, 'Passwort: "', "", "p", 11, '"'),
+    (1, "DB_PASS=", "", "m", 8, "\n"), (1, "Kennwort: ", "", "p", 12, " "), (1, "clave: ", "", "m", 14, "\n"),
+    (1, "jeton = '", "", "x", 32, "'"), (1, "MDP=", "", "p", 8, " "), (1, "geheimnis = ", "", "b", 24, "\n"),
+    (0, "clave: ", "", "n", 6, " "), (0, "Schlüssel: ", "", "n", 7, "\n"),
+    (0, "data:image/png;base64,", "iVBORw0KGgo", "b", 200, '"'), (0, "src=data:image/gif;base64,", "R0lGOD", "b", 120, "'"),
+    (0, "url(data:font/woff2;base64,", "d09GMg", "b", 300, ")"), (0, "data:application/pdf;base64,", "", "b", 90, " "),
 ]
 #: What names a secret and holds none, or only says so.
 REFERENCES = [("password = ", "getpass.getpass()", "\n"), ("secret: ", "${CLIENT_SECRET}", "\n"), ("password=", "<your-password>", " "),
@@ -172,10 +181,12 @@ def _planted(row: int, words: list[str], rng: np.random.Generator):
             yield 0, 'token = "', "your_" + name + "_here", '"'
     plain = [w for w in (re.sub("[^A-Za-z]", "", w) for w in words) if len(w) >= 6][:4]
     for word in plain:  # a word is no secret after a cue; one with figures and marks put in is
-        yield 0, str(rng.choice(["the key: ", "password: ", "token ", "bearer ", "secret: "])), word.lower(), " "
+        yield 0, str(rng.choice(["the key: ", "password: ", "token ", "bearer ", "secret: ",
+                                   "mot de passe : ", "contraseña: ", "Passwort: ", "clave: "])), word.lower(), " "
         if rng.random() < 0.5:
             known = word[:9].title().translate(str.maketrans("oeia", "0314")) + str(rng.choice(list("&!$~?#"))) + str(rng.integers(1, 999))
-            yield 1, str(rng.choice(["password=", "passwd: ", "secret = ", "pwd=", "token: "])), known, str(rng.choice(["\n", " "]))
+            yield 1, str(rng.choice(["password=", "passwd: ", "secret = ", "pwd=", "token: ", "mot de passe : ",
+                                       "contraseña: ", "Passwort: "])), known, str(rng.choice(["\n", " "]))
             yield 1, "ftp://" + word[:5].lower() + ":", known, "@files.net/"
         yield 0, "mailto:", word.lower() + "." + word[:4].lower(), "@mail.org "
     for before, reference, after in REFERENCES:
@@ -187,7 +198,7 @@ def _planted(row: int, words: list[str], rng: np.random.Generator):
 
 
 def labelled_findings(docs: DataFrame, table: np.ndarray, words: frozenset[str], path: str = "source") -> DataFrame:
-    """(label, part, features) of planted findings in the words of up to ``CONTEXTS`` documents."""
+    """(label, part, features) of planted findings in words, from a seeded place, of up to ``CONTEXTS`` documents."""
     schema = pa.schema([("label", pa.float64()), ("part", pa.int32()), ("values", pa.list_(pa.float64()))])
     shared = docs.sparkSession.sparkContext.broadcast((table, words))
 
@@ -204,19 +215,43 @@ def labelled_findings(docs: DataFrame, table: np.ndarray, words: frozenset[str],
                     out[2].append(features(candidate, before[-BEFORE:], after[:AFTER], place, known, dictionary_))
             yield batch(schema.names, out, schema)
     own = F.coalesce(F.col(path).cast("string"), F.lit("")) if path in docs.columns else F.lit("")
-    some = hashed_sample(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.substring(F.coalesce(
-        F.col("text").cast("string"), F.lit("")), 1, 300).alias("text"), own.alias("path")), ["doc_id", "text", "path"], CONTEXTS)
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), own.alias("path"))
+    beyond = F.greatest(F.length("text") - CONTEXT, F.lit(0)).cast("long")
+    place = F.pmod(F.xxhash64("doc_id", F.lit("place")), beyond + 1).cast("int")
+    some = hashed_sample(named.withColumn("text", F.substring("text", place + 1, F.lit(CONTEXT))),
+                         ["doc_id", "text", "path"], CONTEXTS)
     return some.mapInArrow(plant, "label double, part int, values array<double>")
 
 
+def _cued(text: str):
+    """Matches of values after cues, each from the end of the one before, and of passwords in addresses."""
+    at = 0
+    while assigned := ASSIGNMENT.search(text, at):
+        at = assigned.end()
+        value = VALUE.match(text, at) if NAME.search(assigned[0]) else None
+        if value:
+            at = value.end()
+            yield value.span(value.lastindex)
+    for bearer in BEARER.finditer(text):
+        yield bearer.span(1)
+    for run in ADDRESS.finditer(text) if "@" in text else ():
+        at = run.start()
+        while user := USER.search(text, at, run.end()):
+            host = HOST.search(text, min(user.end() + 6, run.end()), run.end())
+            if not host:
+                break
+            yield user.end(), host.start()
+            at = host.end()
+
+
 def proposed(text: str) -> list[tuple[int, int]]:
-    """(start, end) of every candidate of a text from left to right, each once."""
+    """(start, end) of every candidate of a text from left to right, each once; linear in the text."""
     spans = {m.span() for m in _CANDIDATE.finditer(text)}
-    for cue in CUED:
-        for m in cue.finditer(text):
-            value, start = m[m.lastindex].rstrip(",;"), m.start(m.lastindex)
-            if len(value) >= 6:
-                spans.add((start, start + len(value)))
+    for start, end in _cued(text):
+        size = len(text[start:end].rstrip(",;"))
+        if size >= 6:
+            spans.add((start, start + size))
     return sorted(spans)
 
 
