@@ -35,27 +35,46 @@ PATTERNS = {
 MARKS = {"email": "@", "ip": "[0-9]\\.[0-9]", "card": "[0-9][\\x20-]?[0-9]", "phone": "\\+[0-9]"}
 
 #: Generators of further spans, in the order of their kinds after the base kinds.
-_MONTH = r"(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]{0,6}\.?"
+_MONTH = (r"(?i:jan|ene|feb|f[eé]v|m[aä]r|a[pvb]r|ma[iy]|jui?[nl]|aug|ao[uû]|ago|sep|o[ck]t|nov|d[eéi][cz])"
+          r"\p{L}{0,7}\.?")
+_YEAR = r"(?:19|20)[0-9]{2}"
+_AT, _DOT = "(?:at|arobase|arroba)", "(?:dot|point|punto|punkt)"
 GENERATORS = {
-    "phone_local": r"(?<![0-9+])\(?[0-9]{3}(?:\)[\x20.-]?|[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
-    "mail_words": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]{1,63}+"
-                  r"(?:\x20?[\[(]dot[\])]\x20?[A-Za-z0-9-]{1,63}+){1,3}",
+    "phone_local": r"(?<![0-9+])(?:\(?[0-9]{3}(?:\)[\x20.-]?|[\x20.-])[0-9]{3}[\x20.-][0-9]{4}"
+                   r"|0[1-9](?:[\x20.-]?[0-9]{2}){4}"
+                   r"|[6-9][0-9]{2}(?:(?:[\x20.-][0-9]{3}){2}|(?:[\x20.-][0-9]{2}){3})"
+                   r"|\(?0[0-9]{1,4}\)?[\x20/.-]{1,3}[0-9]{3,8}(?:[\x20-][0-9]{2,4}){0,2})(?![0-9])",
+    "mail_words": rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}+"
+                  rf"(?:\x20?[\[({{]\x20?{_AT}\x20?[\])}}]\x20?|\x20{_AT}\x20)[A-Za-z0-9-]{{1,63}}+"
+                  rf"(?:(?:\x20?[\[({{]\x20?{_DOT}\x20?[\])}}]\x20?|\x20{_DOT}\x20|\.)[A-Za-z0-9-]{{1,63}}+){{1,3}}",
     "national_id": r"(?<![0-9-])[0-9]{3}[\x20-][0-9]{2}[\x20-][0-9]{4}(?![0-9-])",
     # groups of any length; each end of a group is a candidate's end (``_prefixes``)
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
-    "birth_date": r"(?<![0-9./-])(?:[0-3]?[0-9][./-][0-3]?[0-9][./-](?:19|20)[0-9]{2}"
-                  r"|(?:19|20)[0-9]{2}[./-][01]?[0-9][./-][0-3]?[0-9]"
-                  rf"|[0-3]?[0-9](?:st|nd|rd|th)?\x20{_MONTH}\x20(?:19|20)[0-9]{{2}}"
-                  rf"|(?<![A-Za-z]){_MONTH}\x20[0-3]?[0-9](?:st|nd|rd|th)?,?\x20(?:19|20)[0-9]{{2}})(?![0-9])",
+    "birth_date": rf"(?<![0-9./-])(?:[0-3]?[0-9][./-][0-3]?[0-9][./-]{_YEAR}"
+                  rf"|{_YEAR}[./-][01]?[0-9][./-][0-3]?[0-9]"
+                  rf"|[0-3]?[0-9](?:st|nd|rd|th|er|\.|º)?\x20(?:de\x20)?{_MONTH}\x20(?:del?\x20)?{_YEAR}"
+                  rf"|(?<!\p{{L}}){_MONTH}\x20[0-3]?[0-9](?:st|nd|rd|th)?,?\x20{_YEAR}"
+                  r"|[0-3][0-9][./-][0-3][0-9][./-][0-9]{2}(?![./-][0-9]))(?![0-9])",
+    "document_id": r"(?<![A-Za-z0-9-])(?:[A-Z]{1,3}[0-9]{6,9}|[0-9]{2}[A-Z]{2}[0-9]{5}|[0-9]{8}-?[A-Z]"
+                   r"|[CFGHJK][0-9CFGHJKLMNPRTVWXYZ]{8}|[0-9]{9})(?![A-Za-z0-9-])",
+    "ipv6": r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+            r"|(?=[0-9A-Fa-f:]{0,39}::)(?:[0-9A-Fa-f]{1,4})?(?:::?[0-9A-Fa-f]{1,4}){1,7}(?:::)?)(?![0-9A-Za-z:])",
+    "mac": r"(?<![0-9A-Za-z:-])[0-9A-Fa-f]{2}(?:(?::[0-9A-Fa-f]{2}){5}|(?:-[0-9A-Fa-f]{2}){5})(?![0-9A-Za-z:-])",
 }
 #: No generator matches more code points than this, so only such neighbours overlap.
 REACH = 384
-GENERATOR_MARK = r"[0-9]|[\[(]at[\])]"
+#: What a text must contain for a generator to be tried; figures for those not listed.
+GENERATOR_MARKS = {
+    "mail_words": rf"[\[({{]\x20?{_AT}\x20?[\])}}]|\x20{_AT}\x20[A-Za-z0-9-]+(?:\x20{_DOT}\x20|\.[A-Za-z0-9]|\x20?[\[({{])",
+    "ipv6": "::|(?:[0-9A-Fa-f]{1,4}:){7}", "mac": "(?:[0-9A-Fa-f]{2}[:-]){5}",
+}
 ORDER = [*KINDS, *GENERATORS]
 IBAN = ORDER.index("iban")
 
-#: Most documents whose contexts carry planted candidates, and the share held out to calibrate.
-CONTEXTS, HELD_OUT = 1500, 3
+#: Most documents whose contexts carry planted candidates, code points of a context, and turns of the plants.
+CONTEXTS, CONTEXT, TURNS = 1500, 400, 16
+#: Parts of the plants; each part's candidates calibrate by the scores of trees that saw none of its templates.
+HELD_OUT = 3
 #: Least precision among held-out candidates that a threshold must reach.
 PRECISION = 0.98
 TREES, DEPTH, SEED = 12, 4, 17
@@ -152,7 +171,8 @@ def _prefixes(spans: Column) -> Column:
 
 def candidates(text: str) -> Column:
     """What the generators propose in a text, each with its neighbourhood."""
-    parts = [_spans(text, p, GENERATOR_MARK, len(KINDS) + i) for i, p in enumerate(GENERATORS.values())]
+    parts = [_spans(text, p, GENERATOR_MARKS.get(name, "[0-9]"), len(KINDS) + i)
+             for i, (name, p) in enumerate(GENERATORS.items())]
     parts[IBAN - len(KINDS)] = _prefixes(parts[IBAN - len(KINDS)])
     return F.transform(F.concat(*parts), lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["match"].alias("match"),
@@ -161,15 +181,17 @@ def candidates(text: str) -> Column:
         F.substring(F.col(text), s["end"] + 1, F.lit(AFTER)).alias("after")))
 
 
-#: Words before a candidate, by what they speak for.
-CUES = {
-    "call": "(?i)\\b(tel|phone|call|mobile|cell|fax|ring|contact)",
-    "mail": "(?i)\\b(mail|write|address|reach)",
-    "person": "(?i)\\b(ssn|social|national|passport|insurance|id)\\b",
-    "money": "(?i)\\b(iban|account|bank|transfer|pay)",
-    "birth": "(?i)\\b(born|birth|dob|birthday)",
-    "item": "(?i)\\b(order|invoice|version|isbn|ref|sku|part|model|no|price|total|page|build|released?|updated|dated|due)\\b",
-}
+#: Words before a candidate in the languages of the documents, by what they speak for.
+CUES = {name: r"(?i)(?<!\p{L})(?:" + words + ")" for name, words in {
+    "call": "tel|tél|phone|call|mobile|mobil|móvil|cell|fax|ring|contact|appel|joindre|portable|handy|ruf|anruf|llam",
+    "mail": "mail|write|address|reach|courriel|écri|adresse|schreib|correo|escrib",
+    "person": r"(?:ssn|social|national|passport|passeport|pasaporte|insurance|id|dni|nie)\b|reisepass|ausweis|identi",
+    "money": "iban|account|bank|banque|banco|transfer|pay|compte|virement|konto|überweis|cuenta",
+    "birth": "born|birth|dob|né|naissance|gebor|geburt|nacid|nacim",
+    "device": "mac|ipv6|ip|host|device|client|peer|gateway|appareil|gerät|equipo",
+    "item": r"(?:order|invoice|version|isbn|ref|sku|part|model|no|price|total|page|build|released?|updated|dated|due)\b"
+            "|commande|facture|prix|publié|bestell|rechnung|preis|seite|artikel|veröffentlicht|pedido|factura|precio|página|publicad",
+}.items()}
 
 
 def _features() -> dict[str, Column]:
@@ -181,6 +203,8 @@ def _features() -> dict[str, Column]:
         "groups": F.size(groups), "longest": F.array_max(F.transform(groups, F.length)),
         "dots": F.length(F.regexp_replace(m, "[^.]", "")), "dashes": F.length(F.regexp_replace(m, "[^-]", "")),
         "brackets": F.length(F.regexp_replace(m, "[^()\\[\\]]", "")),
+        "colons": F.length(F.regexp_replace(m, "[^:]", "")), "zero_first": m.rlike("^\\(?0").cast("int"),
+        "spelt_dot": m.rlike(_DOT).cast("int"), "brackets_at": m.rlike(rf"[\[({{]\x20?{_AT}").cast("int"),
         "different": F.size(F.array_distinct(F.split(digits, ""))), "luhn": _luhn(m).cast("int"),
         "zeros": F.length(F.regexp_replace(digits, "[^0]", "")),
         "touches": (before.rlike("[A-Za-z0-9#/_-]$") | after.rlike("^[A-Za-z0-9/_-]")).cast("int"),
@@ -204,7 +228,7 @@ def with_features(df: DataFrame) -> DataFrame:
 
 
 def _filled(template: Column, seed: Column) -> Column:
-    """A template with # for any digit, % for one from 1, A for a capital and w for a small letter filled in.
+    """A template with # for any digit, % for one from 1, x for a hexadecimal one, A for a capital and w for a small letter.
 
     The first KK becomes the check digits of an account number.
     """
@@ -213,7 +237,7 @@ def _filled(template: Column, seed: Column) -> Column:
 
     def fill(c: Column, i: Column) -> Column:
         return (F.when(c == "#", drawn("0123456789", i)).when(c == "%", drawn("123456789", i))
-                .when(c == "A", drawn("ABCDEFGHIKLMNPRSTUVXZ", i)).when(c == "w", drawn("abcdefghiklmnoprstuvwz", i))
+                .when(c == "x", drawn("0123456789abcdef", i)).when(c == "A", drawn("ABCDEFGHIKLMNPRSTUVXZ", i)).when(c == "w", drawn("abcdefghiklmnoprstuvwz", i))
                 .otherwise(c))
     given = F.array_join(F.transform(F.split(F.replace(template, F.lit("KK"), F.lit("00")), ""), fill), "")
     check = F.lpad((98 - _iban_rest(given)).cast("string"), 2, "0")
@@ -231,7 +255,7 @@ PLANTS = [
     (1, "write to ", "www##[at]wwwwwww[dot]net"), (0, "page ", "ww [at] ww [dot] ww"),
     (1, "ssn ", "%##-##-####"), (1, "social security ", "%##-##-####"), (1, "passport id ", "%##-##-####"),
     (0, "order ", "%##-##-####"), (0, "isbn ", "%##-##-####"), (0, "sku ", "%##-##-####"), (0, "", "%##-##-####"),
-    (1, "iban ", "AA## #### #### #### ####"), (1, "account ", "AA####################"), (1, "bank ", "AA## #### #### #### #### ##"),
+    (1, "iban ", "AAKK #### #### #### ####"), (1, "account ", "AAKK##################"), (1, "bank ", "AAKK #### #### #### #### ##"),
     (0, "model ", "AA## AAAA AAAA AAAA"), (0, "ref ", "AA##A###A###A###"), (0, "version ", "AA## #### #### ####"),
     (1, "born ", "1%.0%.19##"), (1, "birth date: ", "2#/0%/19##"), (1, "dob ", "0%-1#-19##"),
     (0, "released ", "1%.0%.20##"), (0, "updated ", "2#/0%/20##"), (0, "due ", "0%-1#-20##"), (0, "", "1%.0%.20##"),
@@ -241,32 +265,68 @@ PLANTS = [
     (1, "iban ", "AAKK##################"), (1, "account ", "AAKKAAAA##############"), (1, "", "AAKK #### #### #### #### ##"),
     (1, "transfer to ", "AAKK AAAA #### #### ##"), (1, "bank ", "AAKK###########"), (1, "", "AAKK####################"),
     (1, "pay ", "AAKK #### #### ###"), (1, "iban ", "AAKK AAAA #### #### #### #### #### ###"),
-    (1, "iban ", "AA##AAAA##########"), (0, "", "AA##################"), (0, "part no ", "AA## #### #### ###"),
+    (1, "iban ", "AAKKAAAA##########"), (0, "", "AA##################"), (0, "part no ", "AA## #### #### ###"),
     (0, "sku ", "AA##AAAA####AA##"), (0, "", "AA## #### #### #### ##"),
     (1, "born ", "19##-0%-1%"), (1, "dob ", "0%/2#/19##"), (1, "birthday ", "May 1%, 19##"), (1, "born on ", "1% March 19##"),
     (1, "date of birth: ", "19##/1#/0%"), (0, "released ", "20##-0%-1%"), (0, "updated ", "0%/2#/20##"),
     (0, "version ", "20##.0%.1%"), (0, "", "20##-0%-1%"), (0, "due ", "May 1%, 20##"), (0, "page of ", "1% March 20##"),
     (0, "invoice dated ", "19##-0%-1%"),
+    (1, "téléphone ", "06 ## ## ## ##"), (1, "tél. ", "01.##.##.##.##"), (1, "appelez le ", "07########"),
+    (1, "", "06 ## ## ## ##"), (1, "portable : ", "06-##-##-##-##"), (0, "commande ", "06 ## ## ## ##"),
+    (0, "facture ", "03.##.##.##.##"), (0, "ref ", "0%########"), (0, "", "0%########"),
+    (1, "Telefon ", "030 %#######"), (1, "Tel.: ", "0%##/%######"), (1, "rufen Sie ", "0%## %### ##"),
+    (1, "Handy ", "017% %#######"), (0, "Rechnung ", "0%# %######"), (0, "Artikel ", "0%##/%######"), (0, "", "0%## %####"),
+    (1, "phone ", "020 %### ####"), (1, "call ", "0%### %#####"), (1, "tel ", "(0%##) %### ####"), (0, "page ", "0%# ###"),
+    (0, "model ", "0%# %### ####"), (0, "version ", "0%.####"),
+    (1, "teléfono ", "6## ### ###"), (1, "móvil: ", "7## ## ## ##"), (1, "llama al ", "9## ### ###"),
+    (0, "pedido ", "6## ### ###"), (0, "factura ", "9## ## ## ##"), (0, "precio ", "7##.###.###"), (0, "", "8## ### ###"),
+    (0, "total ", "6##.###.###"),
+    (1, "mail ", "wwwww (at) wwwwww.com"), (1, "write to ", "wwww.wwwww at wwwwww dot com"), (1, "courriel ", "wwwww (arobase) wwwwww.fr"),
+    (1, "correo ", "wwwww arroba wwwwww punto es"), (1, "", "wwwww at wwwwww dot org"), (1, "", "wwwwww [at] wwwww.net"),
+    (1, "", "wwww (at) wwww.com"), (1, "email ", "wwww [at] wwwww.org"), (1, "mail ", "wwww at wwww dot com"),
+    (1, "", "wwwww.ww at wwwwwww dot net"), (1, "contact ", "www(at)wwwwwwww.de"), (1, "schreib an ", "wwww (at) wwwww punkt de"),
+    (1, "", "ww {at} wwwwww.com"), (1, "host ", "fe80::%"), (1, "from ", "2001:db8::%"),
+    (1, "compte ", "AAKK #### #### #### ###"), (1, "Konto ", "AAKK AAAA #### #### ####"), (1, "", "AAKK AAAA #### #### #### ####"),
+    (1, "cuenta ", "AAKK####################"), (1, "virement ", "AAKK AAAA #### #### #### #### ###"),
+    (0, "look ", "www at wwwwww.com"), (0, "", "wwwww at wwwww.www"), (0, "we were ", "wwww at wwwwwww.wwww"), (0, "see ", "ww at wwww.org"),
+    (1, "né le ", "1% mars 19##"), (1, "née le ", "1er juin 19##"), (1, "geboren am ", "1%. Mai 19##"), (1, "geboren ", "1%.0%.8#"),
+    (1, "nacido el ", "1% de marzo de 19##"), (1, "nacida el ", "2#/0%/7#"), (1, "date de naissance : ", "2#/0%/19##"),
+    (1, "born ", "1%-0%-6#"), (0, "publié le ", "1% mars 20##"), (0, "veröffentlicht am ", "1%. Mai 20##"),
+    (0, "publicado el ", "1% de junio de 20##"), (0, "Rechnung ", "1%.0%.2#"), (0, "", "2#/0%/1#"), (0, "version ", "1#.0%.2#"),
+    (0, "", "1% juin 20##"),
+    (1, "passport ", "A########"), (1, "passport no ", "%########"), (1, "passeport ", "##AA#####"), (1, "Reisepass ", "C%#K%#L##"),
+    (1, "DNI ", "########A"), (1, "pasaporte ", "AAA######"), (1, "Ausweis ", "G%#H%#N##"), (1, "identity card ", "AA#######"),
+    (0, "order ", "A########"), (0, "sku ", "AAA######"), (0, "invoice ", "%########"), (0, "part no ", "##AA#####"),
+    (0, "", "%########"), (0, "model ", "AA#######"), (0, "", "AAA######"), (0, "Artikel ", "########A"), (0, "total ", "%########"),
+    (1, "ip ", "fe80::x%xx:xxxx:xxxx:xxxx"), (1, "host ", "2001:db8:xxxx:xxxx:xxxx:xxxx:xxxx:xx%x"), (1, "from ", "2a01:%x::%x"),
+    (1, "", "2001:%xx:xxxx:xxxx:xxxx:xxxx:xxxx:xxxx"), (1, "peer ", "fd00:xxxx:%xx::x%"), (0, "", "a::b"), (0, "use ", "fade::add"),
+    (0, "ratio ", "1::%"), (0, "see ", "dead::beef::c"),
+    (1, "mac ", "%x:xx:xx:xx:xx:x%"), (1, "device ", "xx-%x-xx-xx-xx-xx"), (1, "", "xx:%x:xx:xx:xx:xx"), (1, "Gerät ", "xx:xx:%x:xx:xx:xx"),
+    (0, "order ", "##-##-##-##-##-##"), (0, "version ", "##-##-##-##-##-##"), (0, "total ", "##:##:##:##:##:##"), (0, "page ", "##-##-##-##-##-##"),
 ]
 
 
 def labelled_candidates(docs: DataFrame, contexts: int = CONTEXTS) -> DataFrame:
-    """(label, part, candidate columns): planted candidates in the words of up to ``contexts`` documents.
+    """(plant, label, part, candidate columns): planted candidates in words of up to ``contexts`` documents.
 
-    An account number cut too early or too late is a look-alike.
+    The words come from a seeded place of each text. Candidates of one template
+    share a part. An account number cut too early or too late is a look-alike.
     """
-    some = hashed_sample(docs.select("doc_id", F.substring("text", 1, 400).alias("words")), ["doc_id", "words"], contexts)
+    beyond = F.greatest(F.length("text") - CONTEXT, F.lit(0)).cast("long")
+    at = F.pmod(F.xxhash64("doc_id", F.lit("place")), beyond + 1).cast("int")
+    some = hashed_sample(docs.select("doc_id", F.substring("text", at + 1, F.lit(CONTEXT)).alias("words")),
+                         ["doc_id", "words"], contexts)
     plants = docs.sparkSession.createDataFrame(
         [(n, *plant) for n, plant in enumerate(PLANTS)], "n int, label int, cue string, template string")
     words = F.regexp_replace("words", "[0-9@]+", "")
     cut = F.regexp_replace(words, r"\S*$", "")
-    # a document meets one plant of every eight; plants are a fixed list, so this is no join of two tables
-    planted = (some.withColumn("turn", F.pmod(F.xxhash64("doc_id"), F.lit(8)).cast("int"))
-               .join(F.broadcast(plants.withColumn("turn", F.col("n") % 8)), "turn")
+    # a document meets the plants of one turn; plants are a fixed list, so this is no join of two tables
+    planted = (some.withColumn("turn", F.pmod(F.xxhash64("doc_id"), F.lit(TURNS)).cast("int"))
+               .join(F.broadcast(plants.withColumn("turn", F.col("n") % TURNS)), "turn")
                .withColumn("filled", _filled(F.col("template"), F.xxhash64("doc_id", "n")))
                .withColumn("planted", F.concat(F.lit(" "), cut, F.col("cue"), F.col("filled"), F.lit(" "), words)))
-    found = planted.select("doc_id", "label", "filled", F.explode(candidates("planted")).alias("c"))
-    return cut_lineage(found.select("label", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(HELD_OUT)).alias("part"),
+    found = planted.select("n", F.xxhash64("doc_id", "n").alias("plant"), "label", "filled", F.explode(candidates("planted")).alias("c"))
+    return cut_lineage(found.select("plant", "label", (F.col("n") % HELD_OUT).alias("part"),
                                     "filled", "c.*")
                        .withColumn("label", F.when(F.col("match") == F.col("filled"), F.col("label")).otherwise(0))
                        .filter((F.col("match") == F.col("filled")) | ((F.col("kind") == IBAN) & (
@@ -281,8 +341,7 @@ class SpanModel:
     least: dict[int, float]
 
     def scored(self, found: DataFrame) -> DataFrame:
-        return self.trees.transform(with_features(found)).withColumn(
-            "score", vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
+        return _scored(self.trees, with_features(found))
 
     def selected(self, found: DataFrame) -> DataFrame:
         least = F.lit(2.0)
@@ -291,29 +350,49 @@ class SpanModel:
         return self.scored(found).filter(F.col("score") >= least)
 
 
+def _scored(trees, wide: DataFrame) -> DataFrame:
+    return trees.transform(wide).withColumn("score", vector_to_array("probability")[1]) \
+        .drop("features", "rawPrediction", "probability", "prediction")
+
+
+def _trees(wide: DataFrame):
+    """Boosted trees over labelled candidates with features; ``_Never`` if one label is missing."""
+    rows = wide.select("features", F.col("label").cast("double").alias("label"))
+    if rows.select("label").distinct().count() < 2:
+        return _Never()
+    return GBTClassifier(labelCol="label", featuresCol="features", maxIter=TREES, maxDepth=DEPTH, seed=SEED,
+                         cacheNodeIds=False).fit(rows)
+
+
 def fit_spans(labelled: DataFrame, precision: float = PRECISION) -> SpanModel:
-    """Fit the trees on two parts of the labelled candidates and calibrate thresholds on the third.
+    """Fit the trees on all labelled candidates and calibrate thresholds on templates they did not see.
 
-    A kind whose held-out candidates reach ``precision`` at no threshold selects
-    nothing; so does every kind if one label is missing.
+    For calibration every part is scored by trees of the other parts, so a
+    threshold tells the precision on formats that were never planted. Of the
+    overlapping candidates of one plant the best counts, as in a text. A kind
+    that reaches ``precision`` at no threshold selects nothing; so does every
+    kind if one label is missing.
     """
-    rows = labelled
-    present = {r.label for r in rows.select("label").distinct().collect()}
-    train = with_features(rows.filter("part <> 0"))
-    if present != {0, 1} or train.select("label").distinct().count() < 2:
-        return SpanModel(_Never(), {})
-    trees = GBTClassifier(labelCol="label", featuresCol="features", maxIter=TREES, maxDepth=DEPTH, seed=SEED,
-                          cacheNodeIds=False).fit(train.select("features", F.col("label").cast("double").alias("label")))
-    model = SpanModel(trees, {})
-    held = model.scored(rows.filter("part = 0")).groupBy("kind", F.round("score", 3).alias("score")).agg(
-        F.sum("label").alias("good"), F.count("*").alias("n")).collect()
+    wide = cut_lineage(with_features(labelled).coalesce(4))  # a bounded sample
+    trees = _trees(wide)
+    if isinstance(trees, _Never):
+        return SpanModel(trees, {})
+    found: dict[int, dict[float, list[int]]] = {}
+    for part in range(HELD_OUT):
+        held = _scored(_trees(wide.filter(F.col("part") != part)), wide.filter(F.col("part") == part))
+        best = held.groupBy("plant", "kind").agg(F.max(F.struct("score", "end", "label")).alias("best"))
+        for r in best.groupBy("kind", F.round("best.score", 3).alias("score")).agg(
+                F.sum("best.label").alias("good"), F.count("*").alias("n")).collect():
+            counts = found.setdefault(r.kind, {}).setdefault(r.score, [0, 0])
+            counts[0] += r.good
+            counts[1] += r.n
     least = {}
-    for kind in {r.kind for r in held}:
+    for kind, scores in found.items():
         good = total = 0
-        for r in sorted((r for r in held if r.kind == kind), key=lambda r: -r.score):
-            good, total = good + r.good, total + r.n
-            if good >= precision * total:
-                least[kind] = max(r.score - 0.0005, 0.0)
+        for score in sorted(scores, reverse=True):
+            good, total = good + scores[score][0], total + scores[score][1]
+            if good and good >= precision * total:
+                least[kind] = max(score - 0.0005, 0.0)
     return SpanModel(trees, least)
 
 
