@@ -153,34 +153,46 @@ def trial_grid(checked: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 #: Rounds of the permutation, and passes of it after which a number surely lies in the space.
 _ROUNDS, _PASSES = 6, 40
+#: Passes after the first one, in turns: each turn is only gone through by numbers that lie outside before it.
+_AGAIN = (1, 3, _PASSES - 5)
 
 
-def _permuted(number: Column, seed: Column, total: Column) -> Column:
-    """Where a keyed permutation of 0 .. total - 1 takes a number.
+def _permuted(drawn: DataFrame, number: str, seed: str, total: str, out: str) -> DataFrame:
+    """Add where a keyed permutation of 0 .. total - 1 takes a number.
 
     The number is a pair (left, right) of about equal sides; each round adds a hash
     of one half to the other. The rectangle of pairs is larger than the space by
     less than one side, and a number outside it is permuted again: at most once per
-    number outside, and as good as never more than a few times.
+    number outside, and as good as never more than a few times. So the first pass is
+    plain columns, and only numbers it leaves outside go through the others.
     """
-    n_left = F.ceil(F.sqrt(total.cast("double"))).cast("bigint")
-    n_right = F.floor((total + n_left - 1) / n_left).cast("bigint")
+    l, r, m, n, t = (F.col(f"_p{c}") for c in "lrmnt")
 
     def word(k, half):
-        text = F.concat_ws("|", seed.cast("string"), k.cast("string"), half.cast("string"))
+        text = F.concat_ws("|", F.col(seed).cast("string"), k.cast("string"), half.cast("string"))
         return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
+    rows = drawn.withColumns({"_pt": F.col(total), "_pm": F.ceil(F.sqrt(F.col(total).cast("double"))).cast("bigint")})
+    rows = rows.withColumn("_pn", F.floor((t + m - 1) / m).cast("bigint"))
+    rows = rows.withColumns({"_pl": F.floor(F.col(number) / n).cast("bigint"), "_pr": F.col(number) % n})
+    for turn in range(_ROUNDS):
+        half, other, side = ("_pl", r, m) if turn % 2 == 0 else ("_pr", l, n)
+        rows = rows.withColumn(half, (F.col(half) + word(F.lit(turn), other)) % side)
+
     def step(at, k):
         turn = k % _ROUNDS
-        going = F.when(turn == 0, (k == 0) | (at["l"] * at["n"] + at["r"] >= at["t"])).otherwise(at["going"])
-        left = F.when(going & (turn % 2 == 0), (at["l"] + word(turn, at["r"])) % at["m"]).otherwise(at["l"])
-        right = F.when(going & (turn % 2 == 1), (at["r"] + word(turn, at["l"])) % at["n"]).otherwise(at["r"])
-        return F.struct(left.alias("l"), right.alias("r"), at["m"].alias("m"), at["n"].alias("n"), at["t"].alias("t"),
-                        going.alias("going"))
+        going = F.when(turn == 0, at["l"] * n + at["r"] >= t).otherwise(at["going"])
+        left = F.when(going & (turn % 2 == 0), (at["l"] + word(turn, at["r"])) % m).otherwise(at["l"])
+        right = F.when(going & (turn % 2 == 1), (at["r"] + word(turn, at["l"])) % n).otherwise(at["r"])
+        return F.struct(left.alias("l"), right.alias("r"), going.alias("going"))
 
-    start = F.struct(F.floor(number / n_right).cast("bigint").alias("l"), (number % n_right).alias("r"),
-                     n_left.alias("m"), n_right.alias("n"), total.alias("t"), F.lit(True).alias("going"))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(_ROUNDS * _PASSES - 1)), start, step, lambda at: at["l"] * at["n"] + at["r"])
+    for passes in _AGAIN:
+        again = F.aggregate(F.sequence(F.lit(0), F.lit(_ROUNDS * passes - 1)),
+                            F.struct(l.alias("l"), r.alias("r"), F.lit(True).alias("going")), step)
+        inside = F.struct(l.alias("l"), r.alias("r"), F.lit(False).alias("going"))
+        rows = rows.withColumn("_pa", F.when(l * n + r < t, inside).otherwise(again))
+        rows = rows.withColumns({"_pl": F.col("_pa")["l"], "_pr": F.col("_pa")["r"]})
+    return rows.withColumn(out, l * n + r).drop("_pl", "_pr", "_pm", "_pn", "_pt", "_pa")
 
 
 def draw_trials(checked: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -209,9 +221,9 @@ def draw_trials(checked: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         for n, c in axis.items()])
     read = read.withColumn("_total", F.col("_rates") * F.col("_wholes"))
     most = F.least(F.col("max_trial_counts").cast("bigint"), F.col("_total"))
-    drawn = (read.filter("_total > 0").filter(most > 0)
-             .withColumn("_draw", F.explode(F.sequence(F.lit(0).cast("bigint"), most - 1)))
-             .withColumn("_number", _permuted(F.col("_draw"), F.col("seed"), F.col("_total"))))
+    drawn = _permuted(read.filter("_total > 0").filter(most > 0)
+                      .withColumn("_draw", F.explode(F.sequence(F.lit(0).cast("bigint"), most - 1))),
+                      "_draw", "seed", "_total", "_number")
     rate = F.floor(F.col("_number") / F.col("_wholes")).cast("bigint")
     whole = F.col("_low") + (F.col("_number") % F.col("_wholes")) * F.col("_by")
     return drawn.select(

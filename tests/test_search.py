@@ -186,3 +186,18 @@ def test_too_many_failures_cancel_the_rest(spark):
     with pytest.raises(RuntimeError, match="no fit"):
         search.run_trials(spark, _trials(3), objective, parallel=2)
     assert time.monotonic() - start < 60
+
+
+def test_numbers_inside_the_space_take_one_pass_of_the_permutation(spark, monkeypatch):
+    """A square space has no number outside, so its draws need none of the later passes."""
+    monkeypatch.setattr(search, "_AGAIN", ())
+    rows = spark.range(144).selectExpr("id AS i", "7L AS seed", "144L AS total")
+    found = [r.out for r in search._permuted(rows, "i", "seed", "total", "out").collect()]
+    assert sorted(found) == list(range(144)) and found != sorted(found)
+
+
+def test_later_passes_bring_every_number_inside(spark):
+    rows = spark.createDataFrame([(i, 5, t) for t in (1, 2, 3, 5, 7, 11, 13, 35) for i in range(t)], "i long, seed long, total long")
+    found = search._permuted(rows, "i", "seed", "total", "out").groupBy("total").agg(
+        F.count_distinct("out").alias("n"), F.min("out").alias("least"), F.max("out").alias("most")).collect()
+    assert all((r.n, r.least, r.most) == (r.total, 0, r.total - 1) for r in found) and len(found) == 8
