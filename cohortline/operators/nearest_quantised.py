@@ -26,8 +26,10 @@ SAMPLE = 20_000
 #: Points per cell aimed at; coarse centres at most, so that the index is at most some MB.
 CELL_ROWS, MOST_CELLS = 4096, 1024
 CENTRES = 256
-#: Points and test points that meet in one unit of work.
-BLOCK, CHUNK = 1 << 15, 1 << 12
+#: Points and test points that meet in one unit of work; each point found carries its test point.
+BLOCK, CHUNK = 1 << 15, 1 << 9
+#: Distances that a unit holds at a time.
+PAIRS = 1 << 20
 
 
 def _nearest_centre(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -125,8 +127,9 @@ class QuantisedModel:
             near = shared.value.decode(held.column("cell")[0].as_py(), codes)
             numbers = held.column("number").to_numpy()
             found = []
-            for low in range(0, len(x), 256):
-                part = x[low:low + 256]
+            step = max(1, PAIRS // len(near))
+            for low in range(0, len(x), step):
+                part = x[low:low + step]
                 about = (part ** 2).sum(1)[:, None] + (near ** 2).sum(1)[None, :] - 2 * part @ near.T
                 n = min(best, len(near))
                 at = np.argpartition(about, n - 1, axis=1)[:, :n]
