@@ -49,7 +49,8 @@ def seeded_shuffle(df: DataFrame, keys: Sequence[str] | None = None, salt: int |
     copies = copies.withColumn("_hash", F.when(F.col("_copy") == 0, F.col("_hash"))
                                .otherwise(F.md5(F.concat_ws("|", "_hash", "_copy"))))
     # A checkpoint keeps its partitions and their order, so both readings below see the same ranges.
-    dealt = cut_lineage(copies.repartitionByRange(ranges, "_hash").sortWithinPartitions("_hash", *columns, "_copy")
+    place = F.floor(F.conv(F.substring("_hash", 1, 8), 16, 10).cast("double") * F.lit(ranges / 2.0 ** 32)).cast("int")
+    dealt = cut_lineage(copies.repartitionById(ranges, place).sortWithinPartitions("_hash", *columns, "_copy")
                         .select(*columns)).withColumn("_row", F.monotonically_increasing_id())
     sizes = {r[0]: r[1] for r in dealt.groupBy(F.shiftright("_row", 33)).count().collect()}
     offsets, before = [], 0

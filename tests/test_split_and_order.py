@@ -1,3 +1,4 @@
+import hashlib
 from collections import Counter
 
 import pytest
@@ -65,3 +66,17 @@ def test_shuffle_deals_rows_out_once(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Window" not in plan
     assert seeded_shuffle(spark.range(0)).collect() == []
+
+
+def test_shuffle_deals_rows_out_in_one_pass(spark, monkeypatch):
+    """Equal ranges of the hash need no sample of all copies, fill alike and keep the order of the hashes."""
+    df = spark.range(4000).selectExpr("id % 40 AS a")
+    monkeypatch.setattr(type(df), "repartitionByRange", None)
+    found = seeded_shuffle(df, rows_per_range=200)
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 300
+    rows = found.orderBy("position").collect()
+    assert [r.position for r in rows] == list(range(4000))
+    code = lambda text: hashlib.md5(text.encode()).hexdigest()
+    hashes = sorted((h if c == 0 else code(f"{h}|{c}"), a) for a in range(40) for h in [code(f"{a}|42")] for c in range(100))
+    assert [r.a for r in rows] == [a for _, a in hashes]
