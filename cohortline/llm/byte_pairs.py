@@ -320,6 +320,7 @@ def round_trips(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str
                     begun, out = row + 1, [[] for _ in schema]
             if out[1]:
                 yield batch(schema.names, [rows.column(0).slice(begun), *out[1:]], schema)
+        words.cache.older = {}  # the process may go on to other stages
 
     kinds = {pa.int64(): "long", pa.string(): "string", pa.binary(): "binary"}
     return texts_of(docs, key, text).mapInArrow(run, ", ".join(f"{n} {kinds[t]}" for n, t in fields))

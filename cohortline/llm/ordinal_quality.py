@@ -26,6 +26,8 @@ WORD_SLOTS, SHAPE_SLOTS = 1 << 16, 1 << 12
 SLOTS = WORD_SLOTS + SHAPE_SLOTS + 1
 #: Scale of the shares beside the words.
 SHARE = 10.0
+#: Bytes of text that a run works on, as each takes about 100 bytes at work; a longer text is a run of its own.
+RUN_BYTES = 1 << 18
 ROUNDS, STEP, SHRINK = 300, 0.5, 1e-4
 
 
@@ -51,7 +53,7 @@ class _Run:
 
 
 def _runs(column: pa.Array):
-    for first, last, data, offsets in steps(column):
+    for first, last, data, offsets in steps(column, RUN_BYTES):
         n = last - first
         texts = column.slice(first, n)
         found = list(words.hashed_words(texts, words.LETTERED))
