@@ -35,11 +35,11 @@ BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 #: How far a signature's estimate may lie below the wanted similarity (over five deviations).
 SLACK = 0.2
-#: Most classes of one side of an exact comparison.
-BLOCK = 512
+#: Most classes of one side of an exact comparison, and about how many hashes their sets have.
+BLOCK, BLOCK_HASHES = 512, 1 << 18
 CHUNK = 1 << 16
-
-
+#: Bytes of text that a run works on; a longer text is a run of its own.
+RUN_BYTES = 1 << 18
 
 def _signatures(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The minima of 128 universal hashes (a x + b modulo 2^64) of each row's shingles, high halves."""
@@ -61,7 +61,7 @@ def _signatures(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def _sets(column: pa.Array):
     """(row, sorted distinct shingle hashes) of each text, with the raw shingles per run of rows."""
-    for first, last, hashes, counts in words.hashed_words(column):
+    for first, last, hashes, counts in words.hashed_words(column, most=RUN_BYTES):
         grams, sizes = words.shingles(hashes, counts, WIDTH)
         ends = np.cumsum(sizes)
         yield first, grams, sizes, [np.unique(grams[e - s:e]) for e, s in zip(ends, sizes)]
@@ -162,15 +162,18 @@ def _similar(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarr
     common = np.zeros((len(rows), len(rows)), np.float32)
     order = np.argsort(code, kind="stable")
     owner, code = owner[order], code[order]
-    for low in range(0, int(code.max()) + 1, 4096):
-        begin, end = np.searchsorted(code, (low, low + 4096))
-        part = np.zeros((len(rows), 4096), np.float32)
+    for low in range(0, int(code.max()) + 1, 1024):
+        begin, end = np.searchsorted(code, (low, low + 1024))
+        part = np.zeros((len(rows), 1024), np.float32)
         part[owner[begin:end], code[begin:end] - low] = 1
         common += part @ part.T
-    common = common.astype(np.int64)
-    either = size[rows][:, None] + size[rows][None, :] - common
-    i, j = np.nonzero(np.triu(100 * common >= percent * either, 1))
-    return rows[i], rows[j]
+    found, size = [], size[rows]
+    for low in range(0, len(rows), 128):
+        both = common[low:low + 128].astype(np.int64)
+        either = size[low:low + 128, None] + size[None, :] - both
+        i, j = np.nonzero(np.triu(100 * both >= percent * either, low + 1))
+        found.append((rows[i + low], rows[j]))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _forest(percent: int):
@@ -224,9 +227,9 @@ def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     sized = rest.join(sizes, "node")
     least = sized.groupBy("bucket").agg(F.min("size").alias("least"))
     able = cut_lineage(sized.join(least, "bucket").filter(
-        f"100 * kept >= {percent} * (size + greatest(kept, least) - kept)").select("bucket", "node", "component"))
+        f"100 * kept >= {percent} * (size + greatest(kept, least) - kept)").select("bucket", "node", "component", "size"))
     many = able.groupBy("bucket").agg(
-        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"),
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_HASHES)).cast("int").alias("blocks"),
         F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     units = (able.join(many.select("bucket", "blocks"), "bucket").withColumn("block", block)

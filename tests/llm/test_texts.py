@@ -4,15 +4,17 @@ import base64
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
 from cohortline.llm import (
-    byte_pairs, components, licenses, near_duplicates, ordinal_quality, personal_data, secrets, winnowing,
+    byte_pairs, components, licenses, near_duplicates, ordinal_quality, personal_data, secrets, winnowing, words,
 )
 
 SCHEMA = "doc_id long, text string"
@@ -473,3 +475,34 @@ def test_quality_works_on_small_runs_of_a_column(monkeypatch):
     monkeypatch.setattr(q, "RUN_BYTES", 1 << 30)
     whole, = model.scores(column)
     assert np.concatenate([score for _, score in found]).tolist() == whole[1].tolist()
+
+
+def _peak(work) -> int:
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_words_take_little_memory_at_work_in_any_runs():
+    texts = ["Ab cd\tEF  ", "", " x", "é à" * 5, "longer words here " * 400] * 30
+    column = pa.array(texts, pa.string())
+    whole = [np.concatenate(x) for x in zip(*[r[2:] for r in words.hashed_words(column)])]
+    parts = [np.concatenate(x) for x in zip(*[r[2:] for r in words.hashed_words(column, most=1000)])]
+    assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
+    data = np.frombuffer(b"some words of a text " * 50_000, np.uint8)
+    words._hashes(data, np.zeros(1, np.int64))
+    assert _peak(lambda: words._hashes(data, np.zeros(1, np.int64))) < 40 * len(data)
+
+
+def test_runs_of_near_duplicates_stay_small():
+    column = pa.array([" ".join(f"w{i}" for i in range(j, j + 900)) for j in range(400)], pa.string())
+    next(near_duplicates._sets(column))
+    assert _peak(lambda: [None for _ in near_duplicates._sets(column)]) < 16 << 20
+    sets = [np.arange(i, i + 40, dtype=np.uint64) for i in range(1000)]
+    near_duplicates._similar(sets, 80)
+    i, j = near_duplicates._similar(sets, 80)
+    assert list(zip(i.tolist(), j.tolist())) == [(a, b) for a in range(1000) for b in range(a + 1, min(a + 5, 1000))]
+    assert _peak(lambda: near_duplicates._similar(sets, 80)) < 24 << 20
