@@ -5,8 +5,10 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from cohortline.operators import search
-from cohortline.plans.tuned import space_of
+from cohortline.operators import boosting, classifiers, nearest, pure_forest, search
+from cohortline.operators.split import with_split
+from cohortline.plans.comparison import evaluate
+from cohortline.plans.tuned import space_of, tuned_run
 
 COUNTS = {"max_trial_counts": 4, "max_failed_trial_counts": 1, "parallel_trial_counts": 2}
 LR = dict(iterators_min=10, iterators_max=30, iterators_step=10, **COUNTS)
@@ -201,3 +203,60 @@ def test_later_passes_bring_every_number_inside(spark):
     found = search._permuted(rows, "i", "seed", "total", "out").groupBy("total").agg(
         F.count_distinct("out").alias("n"), F.min("out").alias("least"), F.max("out").alias("most")).collect()
     assert all((r.n, r.least, r.most) == (r.total, 0, r.total - 1) for r in found) and len(found) == 8
+
+
+def _copied_rows(spark):
+    """Rows that share few points, with labels at odds on many of them."""
+    x, noise = F.pmod(F.xxhash64("id"), F.lit(7)), F.pmod(F.xxhash64(F.lit("n"), "id"), F.lit(4))
+    rows = spark.range(3000).select(
+        F.concat(F.lit("k"), "id").alias("key"), x.cast("double").alias("a"), (F.col("id") % 5).cast("double").alias("b"),
+        F.when(noise == 0, (x <= 3)).otherwise(x > 3).cast("int").alias("y"))
+    return with_split(rows, ["key"], {"train": 7, "test": 3})
+
+
+def test_trials_share_the_passes_over_rows_and_equal_fits_of_their_own(spark, monkeypatch):
+    calls = Counter()
+    for module, name in ((pure_forest, "_points"), (boosting, "cells_of")):
+        def counted(*given, f=getattr(module, name), name=name, **more):
+            calls[name] += 1
+            return f(*given, **more)
+        monkeypatch.setattr(module, name, counted)
+    df = _copied_rows(spark).persist()
+    counts = {"max_trial_counts": 3, "max_failed_trial_counts": 0, "parallel_trial_counts": 2}
+    run = tuned_run(df, space_of(
+        spark, lr=LR | counts, knn=KNN | counts, xgboost=XGB | counts | dict(n_estimators_max=10),
+        random_forest=dict(n_estimators_min=1, n_estimators_max=5, n_estimators_step=2, **counts)), "y", "key", "t", goal=1.1)
+    assert calls == {"_points": 1, "cells_of": 1}
+    train, test = (df.filter(F.col("split") == name) for name in ("train", "test"))
+    trials = run.trials.collect()
+    assert Counter(t.method for t in trials) == dict.fromkeys(search.METHODS, 3)
+    for t in trials:
+        if t.method == "lr":
+            model = classifiers.fit(classifiers.logistic(train.count(), t.it), train, ["a", "b"], "y")
+        elif t.method == "knn":
+            model = nearest.fit_nearest(train, ["a", "b"], "key", "y", t.nn)
+        elif t.method == "xgboost":
+            model = boosting.fit_boosted(train, ["a", "b"], "y", boosting.Boosting(t.ne, t.lr, 6))
+        else:
+            model = pure_forest.fit_forest(train, ["a", "b"], "y", "key", t.ne)
+        assert t.accuracy == evaluate(model, test, "y")
+
+
+def test_a_fit_on_kinds_equals_one_on_rows(spark):
+    rows = _copied_rows(spark)
+    kinds = rows.groupBy("a", "b", "y").agg(F.count("*").alias("n"))
+    one, two = (classifiers.fit(classifiers.logistic(3000, copies=copies), df, ["a", "b"], "y").stages[-1]
+                for df, copies in ((rows, None), (kinds, "n")))
+    assert one.coefficients.toArray() == pytest.approx(two.coefficients.toArray(), abs=1e-4)
+    assert one.intercept == pytest.approx(two.intercept, abs=1e-4)
+
+
+def test_the_method_whose_rows_cannot_be_used_fails_alone(spark):
+    """Making a shared table fails in each trial that asks for it, as its own fit would."""
+    df = _copied_rows(spark).withColumn("a", F.when(F.col("a") > 0, F.col("a")))
+    counts = {"max_trial_counts": 2, "max_failed_trial_counts": 2, "parallel_trial_counts": 2}
+    run = tuned_run(df, space_of(
+        spark, xgboost=XGB | counts, random_forest=dict(n_estimators_min=1, n_estimators_max=3, n_estimators_step=2, **counts)),
+        "y", "key", "t", goal=1.1)
+    assert Counter((t.method, t.accuracy is None) for t in run.trials.collect()) == {
+        ("random_forest", True): 2, ("xgboost", False): 2}
